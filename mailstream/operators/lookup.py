@@ -18,6 +18,7 @@ BROADCAST_BYTES = 128 * 1024 * 1024
 ROW_OVERHEAD_BYTES = 32
 SALT = "__salt"
 SALTS = 32
+SALT_SEED = 7
 
 
 def _row_bytes(table: DataFrame) -> Column:
@@ -72,12 +73,12 @@ def lookup_table(
 
 
 def with_salt(rows: DataFrame, salts: int = SALTS) -> DataFrame:
-    """Number the rows of each task round-robin, before any shuffle.
+    """Spread the rows of each task over salt values, before any shuffle.
 
-    Copies of one row get different salts.  The sources replay a partition in the
-    same order, so a retried task hands out the same numbers.
+    Copies of one row get different salts.  The seed is fixed and the sources
+    replay a partition in the same order, so a retried task draws the same ones.
     """
-    return rows.withColumn(SALT, F.monotonically_increasing_id() % salts)
+    return rows.withColumn(SALT, F.floor(F.rand(SALT_SEED) * salts))
 
 
 def repeat_per_salt(table: DataFrame, salts: int = SALTS) -> DataFrame:

@@ -95,8 +95,15 @@ def write_csv_archive(rows: DataFrame, path: str) -> None:
 
 
 def read_csv_archive(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """Read an archive back; a filter on `date` reads only those folders."""
-    return spark.read.schema(schema).csv(path)
+    """Read an archive back; a filter on `date` reads only those folders.
+
+    The files hold the other columns in order, so the folder column goes last.  A
+    NULL was written as nothing and an empty text as quotes; a null marker that
+    occurs in neither keeps them apart.
+    """
+    stored = StructType([field for field in schema if field.name != "date"] + [schema["date"]])
+    files = spark.read.schema(stored).option("nullValue", "\u0001").csv(path)
+    return files.select(*schema.names)
 
 
 def start_console(
