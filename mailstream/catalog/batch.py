@@ -91,7 +91,7 @@ def q_to_day(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_tag_type(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = action_rows(fx.action_lines(spark, sf_dir))
+    rows = action_rows(fx.action_lines(spark, sf_dir).items())
     return rows.select("job_id", "date", "vmta_id", "type")
 
 
@@ -114,7 +114,7 @@ def q_in_list(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_prune_rename(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = action_rows(fx.action_lines(spark, sf_dir))
+    rows = action_rows(fx.action_lines(spark, sf_dir).items())
     return enrich_actions(
         rows, isp_domains(spark, sf_dir), lists(spark, sf_dir), blocks(spark, sf_dir)
     )
@@ -180,7 +180,7 @@ def q_parse_user_agent(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_union_actions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return action_rows(fx.action_lines(spark, sf_dir))
+    return action_rows(fx.action_lines(spark, sf_dir).items())
 
 
 def q_union_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -190,7 +190,7 @@ def q_union_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_rollup_actions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Seven keys, before names replace the ids."""
-    return rollup_all_columns(action_rows(fx.action_lines(spark, sf_dir)))
+    return rollup_all_columns(action_rows(fx.action_lines(spark, sf_dir).items()))
 
 
 def q_rollup_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -207,7 +207,7 @@ def q_rollup_user_agent(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_actions_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return actions_rollup(
-        fx.action_lines(spark, sf_dir),
+        fx.action_lines(spark, sf_dir).items(),
         isp_domains(spark, sf_dir),
         lists(spark, sf_dir),
         blocks(spark, sf_dir),

@@ -72,20 +72,25 @@ def topic_event(topic: str) -> str:
     return {**ACTION_EVENTS, **LOG_EVENTS}[topic]
 
 
-def topic_lines(spark: SparkSession, sf_dir: str, topic: str) -> DataFrame:
-    """`(event_id, value BINARY)`: all lines of a topic."""
-    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+def _lines(events: DataFrame, topic: str) -> DataFrame:
     line = F.expr(line_sql(topic, "string")).cast("binary")
     rows = events.where(F.col("event_type") == topic_event(topic))
     return rows.select("event_id", line.alias("value"))
 
 
+def topic_lines(spark: SparkSession, sf_dir: str, topic: str) -> DataFrame:
+    """`(event_id, value BINARY)`: all lines of a topic."""
+    return _lines(spark.read.parquet(f"{sf_dir}/events.parquet"), topic)
+
+
 def action_lines(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return {topic: topic_lines(spark, sf_dir, topic) for topic in ACTION_EVENTS}
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    return {topic: _lines(events, topic) for topic in ACTION_EVENTS}
 
 
 def log_lines(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return {topic: topic_lines(spark, sf_dir, topic) for topic in LOG_EVENTS}
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    return {topic: _lines(events, topic) for topic in LOG_EVENTS}
 
 
 def isp_table(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -51,7 +51,7 @@ def q_stream_actions_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = shared_folder(spark, "actions")
     table = SnapshotTable(f"{folder}/report", ACTIONS_REPORT)
     queries = start_actions(
-        {topic: _topic_stream(spark, sf_dir, topic, folder) for topic in fx.ACTION_EVENTS},
+        [(topic, _topic_stream(spark, sf_dir, topic, folder)) for topic in fx.ACTION_EVENTS],
         isp_domains(spark, sf_dir),
         lists(spark, sf_dir),
         blocks(spark, sf_dir),

@@ -9,6 +9,7 @@ of what a full parser database knows; pass longer ones to `parse_user_agent`.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping, Sequence
 from dataclasses import asdict, dataclass
 
@@ -40,6 +41,13 @@ class Rule:
     device: Device | None = None
 
 
+# Types of a device and of what a lookup gives for a rule.
+DEVICE_TYPE = "struct<family: string, brand: string, model: string>"
+RULE_TYPE = (
+    "struct<family: string, anchor: string, kind: string, touch: boolean, "
+    f"device: {DEVICE_TYPE}>"
+)
+
 # What a word is, and a version of at most three parts.  Every text
 # ends with an empty word, which the last rule of each table matches.
 WORD = "[A-Za-z0-9_-]+|$"
@@ -193,11 +201,12 @@ def text_words(text: Column) -> Column:
 
 
 def _array(values: Sequence[str]) -> Column:
-    return F.array(*(F.lit(value) for value in values))
+    return F.lit(list(values))
 
 
-def _map(values: Mapping[str, str]) -> Column:
-    return F.create_map(*(F.lit(part) for pair in values.items() for part in pair))
+def _map(values: Mapping[str, object], value_type: str = "string") -> Column:
+    """A literal map, passed as one text that the optimizer folds to a constant."""
+    return F.from_json(F.lit(json.dumps(values)), f"map<string, {value_type}>")
 
 
 def _first_present(candidates: Column, words: Column) -> Column:
@@ -219,31 +228,15 @@ def rule_key(word: Column, words: Column, rules: Sequence[Rule]) -> Column:
     for rule in rules:
         if rule.variant:
             variants.setdefault(rule.word, []).append(rule.variant)
-    pairs = (part for base, names in variants.items() for part in (F.lit(base), _array(names)))
-    variant = _first_present(F.try_element_at(F.create_map(*pairs), word), words)
+    candidates = F.try_element_at(_map(variants, "array<string>"), word)
+    variant = _first_present(candidates, words)
     return F.coalesce(F.concat(word, F.lit("+"), variant), word)
 
 
-def _device(device: Device | None) -> Column:
-    if device is None:
-        return F.lit(None).cast("struct<family: string, brand: string, model: string>")
-    return F.struct(*(F.lit(value).alias(name) for name, value in asdict(device).items()))
-
-
 def rule_struct(key: Column, rules: Sequence[Rule]) -> Column:
-    """All values of the rule with this key as a struct, NULL without a rule."""
-    values = {
-        _key(rule): F.struct(
-            F.lit(rule.family).alias("family"),
-            F.lit(rule.anchor).alias("anchor"),
-            F.lit(rule.kind).alias("kind"),
-            F.lit(rule.touch).alias("touch"),
-            _device(rule.device).alias("device"),
-        )
-        for rule in rules
-    }
-    pairs = (part for name, value in values.items() for part in (F.lit(name), value))
-    return F.try_element_at(F.create_map(*pairs), key)
+    """All values of the rule with this key as a struct, NULL without a text."""
+    values = {_key(rule): asdict(rule) for rule in rules}
+    return F.try_element_at(_map(values, RULE_TYPE), key)
 
 
 def version(rule: Column, text: Column) -> Column:
@@ -266,19 +259,20 @@ def android_model(text: Column) -> Column:
 def android_brand(model: Column) -> Column:
     """Struct of brand and family prefix by the first letters of a model."""
     letters = F.regexp_extract(model, f"^({'|'.join(ANDROID_BRANDS)})", 1)
-    pairs = []
-    for prefix, (brand, start) in ANDROID_BRANDS.items():
-        names = F.struct(F.lit(brand).alias("brand"), F.lit(start).alias("start"))
-        pairs += [F.lit(prefix), names]
-    return F.try_element_at(F.create_map(*pairs), letters)
+    values = {
+        prefix: {"brand": brand, "start": start}
+        for prefix, (brand, start) in ANDROID_BRANDS.items()
+    }
+    return F.try_element_at(_map(values, "struct<brand: string, start: string>"), letters)
 
 
 def android_generic(model: Column) -> Column:
     """Device struct of a text that names the size, not the model."""
-    pairs = []
-    for word, size in GENERIC_ANDROID.items():
-        pairs += [F.lit(word), _device(Device(f"Generic {size}", "Generic", size))]
-    return F.try_element_at(F.create_map(*pairs), model)
+    values = {
+        word: asdict(Device(f"Generic {size}", "Generic", size))
+        for word, size in GENERIC_ANDROID.items()
+    }
+    return F.try_element_at(_map(values, DEVICE_TYPE), model)
 
 
 def device(text: Column, browser: Column, system: Column, model: Column) -> Column:

@@ -104,7 +104,7 @@ def geo_blocks(
     """
     if cache:
         blocks = blocks.persist()
-    if not overlaps(blocks).isEmpty():
+    if overlaps(blocks).count():
         raise ValueError("address blocks overlap")
     whole, rest = [], blocks
     for bits in WHOLE_BITS:

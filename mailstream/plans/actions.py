@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterable
 
 from pyspark.sql import DataFrame
 
@@ -27,9 +27,9 @@ ACTION_KEYS = (
 )
 
 
-def action_rows(lines: Mapping[str, DataFrame]) -> DataFrame:
-    """Decoded rows of several topics, `lines` by label."""
-    decoded = (decode_actions(part, label) for label, part in lines.items())
+def action_rows(topics: Iterable[tuple[str, DataFrame]]) -> DataFrame:
+    """Decoded rows of several topics, given as (label, lines); labels may repeat."""
+    decoded = (decode_actions(lines, label) for label, lines in topics)
     return union_rows(*decoded).drop("http_user_agent")
 
 
@@ -43,7 +43,7 @@ def enrich_actions(
 
 
 def actions_rollup(
-    lines: Mapping[str, DataFrame],
+    topics: Iterable[tuple[str, DataFrame]],
     isp_domains: Lookup,
     lists: Lookup,
     blocks: GeoBlocks,
@@ -54,7 +54,7 @@ def actions_rollup(
     be shuffled, a batch counts the raw rows first, so copies are not shuffled
     again by each join, and a stream salts its rows.
     """
-    rows = action_rows(lines)
+    rows = action_rows(topics)
     if isp_domains.small and lists.small and blocks.small:
         return rollup_all_columns(enrich_actions(rows, isp_domains, lists, blocks))
     if rows.isStreaming:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
@@ -23,7 +23,7 @@ from mailstream.streaming.sinks import (
 
 
 def start_actions(
-    lines: Mapping[str, DataFrame],
+    topics: Iterable[tuple[str, DataFrame]],
     isp_domains: Lookup,
     lists: Lookup,
     blocks: GeoBlocks,
@@ -31,8 +31,8 @@ def start_actions(
     checkpoint: str,
     trigger: Trigger = Trigger(),
 ) -> list[StreamingQuery]:
-    """Running counts of opens, clicks and unsubscribes; `lines` by label."""
-    counts = actions_rollup(lines, isp_domains, lists, blocks)
+    """Running counts of opens, clicks and unsubscribes; topics as (label, lines)."""
+    counts = actions_rollup(topics, isp_domains, lists, blocks)
     return [start_upsert(counts, write, f"{checkpoint}/actions", trigger)]
 
 

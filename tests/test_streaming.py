@@ -108,7 +108,7 @@ def test_actions_stream_equals_batch(spark, tmp_path, limit):
     blocks = geo_blocks(fx.nation_blocks(spark, SMALL), **options)
     for topic in fx.ACTION_EVENTS:
         stage(spark, topic, str(tmp_path / topic), 3)
-    streams = {t: file_source(spark, str(tmp_path / t), 1) for t in fx.ACTION_EVENTS}
+    streams = [(t, file_source(spark, str(tmp_path / t), 1)) for t in fx.ACTION_EVENTS]
     table = SnapshotTable(str(tmp_path / "out"), ACTIONS_REPORT)
     await_queries(
         start_actions(
@@ -116,7 +116,7 @@ def test_actions_stream_equals_batch(spark, tmp_path, limit):
         )
     )
     assert_same(read_snapshot(spark, table), ORACLE_SQL["actions_rollup"], SMALL)
-    batch = {t: file_lines(spark, str(tmp_path / t)) for t in fx.ACTION_EVENTS}
+    batch = [(t, file_lines(spark, str(tmp_path / t))) for t in fx.ACTION_EVENTS]
     assert_same(
         actions_rollup(batch, isp, lists, blocks), ORACLE_SQL["actions_rollup"], SMALL
     )
