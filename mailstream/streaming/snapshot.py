@@ -1,10 +1,11 @@
 """Keyed result table on files, updated by micro-batches.
 
 A micro-batch writes only the rows it changed, to `changes/batch=<id>`; the whole
-table is never rewritten for it.  Reading takes the newest value of each key from
-the last compacted `base/upto=<id>` and the changes after it.  A folder counts
-once its `_SUCCESS` file is there, so a half-written one is never read and a
-replayed batch leaves the table as it was.
+table is never rewritten for it.  Compacting folds the changes so far into
+`base/batch=<id>/date=<day>`, for the days they touch and no others.  Reading takes
+the newest value of each key over both.  A batch folder counts once its `_SUCCESS`
+file is there, so a half-written one is never read and a replayed batch leaves the
+table as it was.
 """
 
 from __future__ import annotations
@@ -13,11 +14,11 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import LongType, StructField, StructType
 
 from mailstream.operators.rollup import TOTAL
 
-VERSION = "__version"
+BATCH = "batch"
 QUERY_ID = "sql.streaming.queryId"
 
 
@@ -25,8 +26,8 @@ QUERY_ID = "sql.streaming.queryId"
 class SnapshotTable:
     """Where the table lies and its columns; all but the total are its key.
 
-    The compacted part is partitioned by `partition_by`, so a report on a few days
-    reads only those.
+    The compacted part is partitioned by `partition_by`, a key column with few
+    values, so a report on a few days reads only those.
     """
 
     path: str
@@ -77,53 +78,83 @@ def publish(batch: DataFrame, batch_id: int, table: SnapshotTable) -> None:
     rows.write.mode("overwrite").parquet(f"{table.path}/changes/batch={batch_id}")
 
 
+def _read(spark: SparkSession, table: SnapshotTable, kind: str, batches: list[int]) -> DataFrame:
+    """Rows of some batch folders, with the number of their batch."""
+    schema = StructType([*table.schema.fields, StructField(BATCH, LongType())])
+    if not batches:
+        return spark.createDataFrame([], schema)
+    folder = f"{table.path}/{kind}"
+    files = spark.read.schema(schema).option("basePath", folder).parquet(
+        *(f"{folder}/batch={n}" for n in batches)
+    )
+    return files.select(*schema.names)
+
+
+def _newest(rows: DataFrame, table: SnapshotTable) -> DataFrame:
+    latest = F.max_by(TOTAL, BATCH).alias(TOTAL)
+    return rows.groupBy(*table.keys).agg(latest).select(*table.schema.names)
+
+
+def _pending(spark: SparkSession, table: SnapshotTable, bases: list[int]) -> list[int]:
+    """Published changes that no base holds yet."""
+    done = bases[-1] if bases else -1
+    return [n for n in _published(spark, f"{table.path}/changes") if n > done]
+
+
 def read_snapshot(spark: SparkSession, table: SnapshotTable) -> DataFrame:
     """The current rows: the newest total of every key."""
     bases = _published(spark, f"{table.path}/base")
-    newest = bases[-1] if bases else -1
-    changes = [n for n in _published(spark, f"{table.path}/changes") if n > newest]
-    reader = spark.read.schema(table.schema)
-    parts = [
-        reader.parquet(f"{table.path}/changes/batch={n}").withColumn(VERSION, F.lit(n))
-        for n in changes
-    ]
-    if bases:
-        base = reader.parquet(f"{table.path}/base/upto={newest}")
-        parts.insert(0, base.withColumn(VERSION, F.lit(newest)))
-    if not parts:
-        return spark.createDataFrame([], table.schema)
-    every = parts[0]
-    for part in parts[1:]:
-        every = every.unionByName(part)
-    latest = F.max_by(TOTAL, VERSION).alias(TOTAL)
-    return every.groupBy(*table.keys).agg(latest).select(*table.schema.names)
+    base = _read(spark, table, "base", bases)
+    changes = _read(spark, table, "changes", _pending(spark, table, bases))
+    return _newest(base.unionByName(changes), table)
 
 
 def compact(spark: SparkSession, table: SnapshotTable) -> None:
-    """Fold all published changes into a new base; readers switch when it is done."""
-    changes = _published(spark, f"{table.path}/changes")
-    if not changes or changes[-1] in _published(spark, f"{table.path}/base"):
+    """Fold the pending changes into a new base; readers switch when it is done.
+
+    Only the partition values that occur in the changes reach the driver; they are
+    days, and they limit what is read and written.
+    """
+    bases = _published(spark, f"{table.path}/base")
+    pending = _pending(spark, table, bases)
+    if not pending:
         return
-    rows = read_snapshot(spark, table).hint("rebalance", table.partition_by)
-    target = f"{table.path}/base/upto={changes[-1]}"
+    changes = _read(spark, table, "changes", pending)
+    touched = [row[0] for row in changes.select(table.partition_by).distinct().collect()]
+    day = F.col(table.partition_by)
+    in_touched = day.isin(*(value for value in touched if value is not None))
+    if None in touched:
+        in_touched = in_touched | day.isNull()
+    base = _read(spark, table, "base", bases).where(in_touched)
+    rows = _newest(base.unionByName(changes), table).hint("rebalance", table.partition_by)
+    target = f"{table.path}/base/batch={pending[-1]}"
     rows.write.mode("overwrite").partitionBy(table.partition_by).parquet(target)
 
 
+def _delete(spark: SparkSession, folder: str) -> None:
+    path, files = _file_system(spark, folder)
+    files.delete(path, True)
+
+
 def expire(spark: SparkSession, table: SnapshotTable) -> None:
-    """Delete what the last two bases no longer need.
+    """Delete what the base before the newest one has replaced.
 
-    The base before the newest one stays, for readers that began with it.
+    What only the newest one has replaced stays, for readers that began earlier.
     """
     bases = _published(spark, f"{table.path}/base")
     if len(bases) < 2:
         return
-    keep_from = bases[-2]
-    old = [f"base/upto={n}" for n in bases if n < keep_from]
-    old += [
-        f"changes/batch={n}"
-        for n in _published(spark, f"{table.path}/changes")
-        if n <= keep_from
-    ]
-    for folder in old:
-        path, files = _file_system(spark, f"{table.path}/{folder}")
-        files.delete(path, True)
+    for n in _published(spark, f"{table.path}/changes"):
+        if n <= bases[-2]:
+            _delete(spark, f"{table.path}/changes/batch={n}")
+    replaced: set[str] = set()
+    for n in reversed(bases[:-1]):
+        folder = f"{table.path}/base/batch={n}"
+        pattern, files = _file_system(spark, f"{folder}/{table.partition_by}=*")
+        parts = {f.getPath().getName() for f in files.globStatus(pattern) or []}
+        if parts <= replaced:
+            _delete(spark, folder)
+        else:
+            for part in parts & replaced:
+                _delete(spark, f"{folder}/{part}")
+        replaced |= parts

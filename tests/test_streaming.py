@@ -227,19 +227,49 @@ def test_half_written_folders_are_not_read(spark, tmp_path):
     assert totals(read_snapshot(spark, table)) == {("a", None): 7}
 
 
+def days_of(spark, *rows):
+    """(day, job_id, total) rows of a report; day 0 is a NULL date."""
+    full = [
+        ("s", datetime.date(2024, 1, day) if day else None, None, job, "u", "d", "i", "x", None, n)
+        for day, job, n in rows
+    ]
+    return spark.createDataFrame(full, LOGS_REPORT)
+
+
+def by_day(frame):
+    return {(r["date"].day if r["date"] else 0, r["job_id"]): r[TOTAL] for r in frame.collect()}
+
+
 def test_compacting_changes_nothing_for_readers(spark, tmp_path):
     table = SnapshotTable(str(tmp_path / "t"), LOGS_REPORT)
+    batches = [
+        [(0, "a", 1), (1, "a", 1), (2, "a", 1)],
+        [(1, "a", 2), (1, "b", 1)],
+        [(2, "a", 5)],
+        [(0, "a", 9), (2, "b", 1)],
+        [(1, "b", 7)],
+        [(3, "a", 1)],
+    ]
     want = {}
-    for n in range(6):
-        rows = [(f"j{n % 3}", None, n), (f"k{n}", "soft", n)]
-        publish(rows_of(spark, *rows), n, table)
-        want.update({(job, kind): total for job, kind, total in rows})
+    for n, rows in enumerate(batches):
+        publish(days_of(spark, *rows), n, table)
+        want.update({(day, job): total for day, job, total in rows})
+        assert by_day(read_snapshot(spark, table)) == want
         if n % 2:
             compact(spark, table)
+            assert by_day(read_snapshot(spark, table)) == want
             expire(spark, table)
-        assert totals(read_snapshot(spark, table)) == want
-    kept = {p.name for p in (tmp_path / "t" / "base").iterdir()}
-    assert kept == {"upto=3", "upto=5"}
+            compact(spark, table)
+        assert by_day(read_snapshot(spark, table)) == want
+    base = tmp_path / "t" / "base"
+    kept = {f"{p.parent.name}/{p.name}" for p in base.glob("batch=*/date=*")}
+    assert kept == {
+        "batch=1/date=2024-01-01",
+        "batch=3/date=__HIVE_DEFAULT_PARTITION__",
+        "batch=3/date=2024-01-02",
+        "batch=5/date=2024-01-01",
+        "batch=5/date=2024-01-03",
+    }
     assert {p.name for p in (tmp_path / "t" / "changes").iterdir()} == {"batch=4", "batch=5"}
     scan = read_snapshot(spark, table).where("date = date'2024-01-01'")
     assert "PartitionFilters: [isnotnull(date" in scan._jdf.queryExecution().executedPlan().toString()
