@@ -18,19 +18,19 @@ SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", str(os.cpu_count() or 8))
 RUNS = int(os.environ.get("BENCH_RUNS", "3"))
 HEADLINE = (
-    "actions_rollup",
-    "logs_rollup",
-    "user_agent_rollup",
-    "ip_to_country",
-    "ip_to_country_many_blocks",
-    "parse_user_agent",
     "join_isp",
     "join_lists",
+    "parse_user_agent",
+    "ip_to_country",
+    "ip_to_country_many_blocks",
+    "logs_rollup",
+    "user_agent_rollup",
+    "actions_rollup",
     "logs_archive",
     "upsert_snapshot",
-    "stream_actions_rollup",
     "stream_logs_rollup",
     "stream_user_agent_rollup",
+    "stream_actions_rollup",
 )
 
 

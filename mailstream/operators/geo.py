@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from mailstream.functions.ipv4 import ipv4_octets, network, octets_to_number
-from mailstream.operators.lookup import BROADCAST_BYTES, left_join_static, total_bytes
+from mailstream.operators.lookup import BROADCAST_BYTES, left_join_static, row_bytes
 
 WHOLE_BITS = (16, 12)
 PIECE_BITS = 8
@@ -100,19 +100,26 @@ def geo_blocks(
     """Check, cut and measure `blocks(lo BIGINT, hi BIGINT, country STRING)`.
 
     Overlapping blocks are an error: they would multiply rows, and the bound on
-    the broadcast levels rests on there being none.
+    the broadcast levels rests on there being none.  Without `cache` each
+    micro-batch reads and cuts the blocks again; a cached table is frozen until
+    restart.
     """
-    if cache:
-        blocks = blocks.persist()
-    if overlaps(blocks).count():
-        raise ValueError("address blocks overlap")
     whole, rest = [], blocks
     for bits in WHOLE_BITS:
         whole.append(whole_networks(rest, bits))
         rest = block_ends(rest, bits)
     pieces = clipped_networks(rest, PIECE_BITS)
-    size = pieces.agg(total_bytes(pieces).alias("bytes")).first()["bytes"]
-    return GeoBlocks(tuple(whole), pieces, size <= broadcast_bytes)
+    if cache:
+        whole, pieces = [level.persist() for level in whole], pieces.persist()
+    measured = overlaps(blocks).select(F.lit(1).alias("overlap"), F.lit(0).alias("bytes"))
+    measured = measured.unionByName(
+        pieces.select(F.lit(0).alias("overlap"), row_bytes(pieces).alias("bytes"))
+    )
+    found = measured.agg(F.sum("overlap").alias("overlaps"), F.sum("bytes").alias("bytes"))
+    found = found.first()
+    if found["overlaps"]:
+        raise ValueError("address blocks overlap")
+    return GeoBlocks(tuple(whole), pieces, (found["bytes"] or 0) <= broadcast_bytes)
 
 
 def ip_to_country(rows: DataFrame, blocks: GeoBlocks, ip: str = "request_ip") -> DataFrame:

@@ -21,18 +21,13 @@ SALTS = 32
 SALT_SEED = 7
 
 
-def _row_bytes(table: DataFrame) -> Column:
+def row_bytes(table: DataFrame) -> Column:
     """Rough in-memory size of a row: 8 bytes a column, plus text length."""
     size = F.lit(ROW_OVERHEAD_BYTES + 8 * len(table.columns))
     for name, kind in table.dtypes:
         if kind in ("string", "binary"):
             size = size + F.coalesce(F.octet_length(name), F.lit(0))
-    return size
-
-
-def total_bytes(table: DataFrame) -> Column:
-    """Aggregate expression: estimated in-memory size of the whole table."""
-    return F.coalesce(F.sum(_row_bytes(table).cast("bigint")), F.lit(0))
+    return size.cast("bigint")
 
 
 @dataclass(frozen=True)
@@ -59,7 +54,7 @@ def lookup_table(
     """
     if cache:
         table = table.persist()
-    measures = [total_bytes(table).alias("bytes")]
+    measures = [F.sum(row_bytes(table)).alias("bytes")]
     if check_unique:
         measures += [
             F.count(key).alias("keys"),
@@ -69,7 +64,7 @@ def lookup_table(
     if check_unique and found["keys"] != found["distinct_keys"]:
         extra = found["keys"] - found["distinct_keys"]
         raise ValueError(f"lookup column {key!r} is not unique: {extra} repeated rows")
-    return Lookup(table, key, found["bytes"] <= broadcast_bytes)
+    return Lookup(table, key, (found["bytes"] or 0) <= broadcast_bytes)
 
 
 def with_salt(rows: DataFrame, salts: int = SALTS) -> DataFrame:

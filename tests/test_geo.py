@@ -67,6 +67,18 @@ def test_whole_levels_keep_wide_blocks_small(spark):
     assert cut.pieces.count() == 0
 
 
+def test_cached_blocks_are_cut_once(spark):
+    table = spark.createDataFrame([(5, 2**24, "a")], "lo bigint, hi bigint, country string")
+    cut = geo_blocks(table, cache=True)
+    rows = spark.createDataFrame([("0.0.0.9",), ("0.9.9.9",)], "request_ip string")
+    found = ip_to_country(rows, cut)
+    assert [r["country"] for r in found.collect()] == ["a", "a"]
+    scans = found._jdf.queryExecution().executedPlan().toString().count("InMemoryTableScan")
+    assert scans >= len(cut.whole) + 1
+    for frame in (*cut.whole, cut.pieces):
+        frame.unpersist()
+
+
 def test_malformed_addresses_have_no_country(spark):
     bad = ["", "1.2.3", "1.2.3.4.5", "256.1.1.1", "1.2.3.04", " 1.2.3.4", "a.b.c.d", "::1", None]
     table = spark.createDataFrame([(0, TOP - 1, "all")], "lo bigint, hi bigint, country string")
