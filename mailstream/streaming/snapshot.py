@@ -63,7 +63,7 @@ def _claim(spark: SparkSession, table: SnapshotTable, query_id: str) -> None:
         )
     if not owners:
         mark, files = _file_system(spark, f"{table.path}/query={query_id}")
-        files.mkdirs(mark)
+        files.create(mark, True).close()
 
 
 def publish(batch: DataFrame, batch_id: int, table: SnapshotTable) -> None:

@@ -15,7 +15,12 @@ from mailstream.operators.lookup import lookup_table
 from mailstream.operators.rollup import TOTAL
 from mailstream.plans.actions import actions_rollup
 from mailstream.plans.logs import logs_rollup
-from mailstream.plans.schemas import ACTIONS_REPORT, LOG_ARCHIVE, LOGS_REPORT
+from mailstream.plans.schemas import (
+    ACTIONS_REPORT,
+    LOG_ARCHIVE,
+    LOGS_REPORT,
+    USER_AGENT_REPORT,
+)
 from mailstream.plans.user_agents import user_agent_rollup
 from mailstream.session import shared_folder
 from mailstream.sources.files import file_lines, file_source
@@ -69,7 +74,7 @@ def test_restart_goes_on_from_the_checkpoint(spark, tmp_path):
 
     def write(batch, batch_id):
         seen.append(batch_id)
-        snapshot_writer(table)(batch, batch_id)
+        snapshot_writer(table, compact_every=2)(batch, batch_id)
 
     for part in (lines[:60], lines[60:90], lines[90:]):
         rows = spark.createDataFrame([(r["value"],) for r in part], "value binary")
@@ -79,6 +84,7 @@ def test_restart_goes_on_from_the_checkpoint(spark, tmp_path):
         )
         await_queries([start_upsert(counts, write, str(tmp_path / "checkpoint"), NOW)])
     assert seen == sorted(set(seen)) and len(seen) >= 5
+    assert list((tmp_path / "out" / "base").glob("batch=*/_SUCCESS"))
     want = logs_rollup(file_lines(spark, source), file_lines(spark, delivered))
     same(read_snapshot(spark, table), want)
 
@@ -133,6 +139,19 @@ def test_user_agents_to_console(spark, tmp_path):
     assert "Console" in progress[-1]["sink"]["description"]
 
 
+@pytest.mark.parametrize("limit", [None, 0])
+def test_user_agent_stream_equals_batch(spark, tmp_path, limit):
+    options = {} if limit is None else {"broadcast_bytes": limit}
+    isp = lookup_table(fx.isp_table(spark, SMALL), **options)
+    stage(spark, "click", str(tmp_path / "click"), 2)
+    table = SnapshotTable(str(tmp_path / "out"), USER_AGENT_REPORT)
+    stream = file_source(spark, str(tmp_path / "click"), 1)
+    await_queries(
+        start_user_agents(stream, isp, str(tmp_path / "cp"), snapshot_writer(table), NOW)
+    )
+    assert_same(read_snapshot(spark, table), ORACLE_SQL["user_agent_rollup"], SMALL)
+
+
 @pytest.mark.parametrize("limit", [None, 0])
 def test_user_agent_batch_with_a_large_lookup(spark, limit):
     options = {} if limit is None else {"broadcast_bytes": limit}
