@@ -16,7 +16,9 @@ from __future__ import annotations
 import hashlib
 import heapq
 import re
+import string
 from collections.abc import Iterator
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -27,8 +29,9 @@ from pyspark.sql import types as T
 from mailstream.llm.common import slices, text_or_empty
 
 SPACE = "▁"
-CACHED_STRETCHES = 200_000
+CACHED_STRETCHES = 400_000
 CACHED_LENGTH = 64
+NEVER = float("inf")
 
 
 class MergeVocabulary:
@@ -44,6 +47,10 @@ class MergeVocabulary:
         if len(self.byte_of) != 256 or any(lib.is_unused(i) for i in range(size)):
             raise ValueError("the model must have byte pieces and no unused pieces")
         self.silent = {i for i in range(size) if lib.is_control(i)}
+        self.said = [
+            "" if i in self.silent else piece.replace(SPACE, " ")
+            for i, piece in enumerate(self.pieces)
+        ]
         self.begin, self.end = lib.bos_id(), lib.eos_id()
         self.ids = {
             piece: i
@@ -62,7 +69,10 @@ class MergeVocabulary:
                 if alone
                 else f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+"
             )
-        self.cache: dict[str, list[int]] = {}
+        # Marks that no piece joins to a letter before them.
+        joined_to = {b for piece in self.ids for a, b in pairwise(piece) if a.isalpha()}
+        self.marks = "".join(c for c in string.punctuation if c not in joined_to)
+        self.cache: dict[str, tuple[int, ...]] = {}
         if lib.encode("a  b", out_type=str) != self.names(self.encode("a  b")[1:-1]):
             raise ValueError("the model normalises texts; only plain ones are supported")
 
@@ -75,18 +85,55 @@ class MergeVocabulary:
         if text:
             cache = self.cache
             for part in self.stretch.findall(SPACE + text.replace(" ", SPACE)):
-                ids = cache.get(part)
-                if ids is None:
-                    ids = self._merge(part)
-                    if len(part) <= CACHED_LENGTH:
-                        if len(cache) >= CACHED_STRETCHES:
-                            cache.clear()
-                        cache[part] = ids
-                out += ids
+                out += cache.get(part) or self._remember(part)
         out.append(self.end)
         return out
 
+    def _remember(self, part: str) -> tuple[int, ...]:
+        """Ids of a stretch that is not in the cache."""
+        word = part.rstrip(self.marks)
+        if word != part and word[-1:].isalpha():
+            tail = part[len(word) :]
+            known = self.cache.get
+            ids = (known(word) or self._remember(word)) + (known(tail) or self._remember(tail))
+        else:
+            ids = tuple(self._merge(part))
+        if len(part) <= CACHED_LENGTH:
+            if len(self.cache) >= CACHED_STRETCHES:
+                self.cache.clear()
+            self.cache[part] = ids
+        return ids
+
     def _merge(self, part: str) -> list[int]:
+        merged = self._merge_short if len(part) <= CACHED_LENGTH else self._merge_long
+        ids = []
+        for symbol in merged(part):
+            known = self.ids.get(symbol)
+            if known is None:
+                ids += [self.byte_ids[b] for b in symbol.encode()]
+            else:
+                ids.append(known)
+        return ids
+
+    def _merge_short(self, part: str) -> list[str]:
+        """The agenda of a short stretch is a list: the cost of each adjacent pair."""
+        cost_of, symbols = self.costs.get, list(part)
+        agenda = [cost_of(a + b, NEVER) for a, b in pairwise(symbols)]
+        while agenda:
+            best = min(agenda)
+            if best == NEVER:
+                break
+            i = agenda.index(best)
+            symbols[i] += symbols.pop(i + 1)
+            del agenda[i]
+            if i:
+                agenda[i - 1] = cost_of(symbols[i - 1] + symbols[i], NEVER)
+            if i < len(agenda):
+                agenda[i] = cost_of(symbols[i] + symbols[i + 1], NEVER)
+        return symbols
+
+    def _merge_long(self, part: str) -> list[str]:
+        """The agenda of a long stretch is a heap, with pairs that may have gone stale."""
         costs = self.costs
         symbols: list[str | None] = list(part)
         n = len(symbols)
@@ -115,20 +162,12 @@ class MergeVocabulary:
                 before[after[right]] = left
             propose(before[left], left)
             propose(left, after[left])
-        ids = []
-        for symbol in symbols:
-            if symbol is not None:
-                known = self.ids.get(symbol)
-                if known is None:
-                    ids += [self.byte_ids[b] for b in symbol.encode()]
-                else:
-                    ids.append(known)
-        return ids
+        return [symbol for symbol in symbols if symbol is not None]
 
     def decode(self, ids: list[int]) -> str:
         """The text of ids; runs of byte pieces are read as UTF-8."""
-        if not any(i in self.byte_of for i in ids):
-            text = "".join([self.pieces[i] for i in ids if i not in self.silent])
+        if self.byte_of.keys().isdisjoint(ids):
+            text = "".join(map(self.said.__getitem__, ids))
         else:
             parts, run = [], bytearray()
             for i in ids:
@@ -137,10 +176,10 @@ class MergeVocabulary:
                 elif i not in self.silent:
                     parts.append(run.decode(errors="replace"))
                     run = bytearray()
-                    parts.append(self.pieces[i])
+                    parts.append(self.said[i])
             parts.append(run.decode(errors="replace"))
             text = "".join(parts)
-        return text.replace(SPACE, " ").removeprefix(" ")
+        return text.removeprefix(" ")
 
 
 def encode_pieces(

@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from mailstream.llm.ann import nearest
 from mailstream.llm.chat import format_chats, read_chats
 from mailstream.llm.common import table
 from mailstream.llm.language import fit_languages, predict_languages
@@ -33,6 +34,11 @@ def op5_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(table(spark, sf_dir, "documents")).drop("doc_no")
 
 
+def op6_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return nearest(vectors, F.col("vec_id") % 20 == 0)
+
+
 def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     held_out = fold(docs["doc_id"], 4) == 2
@@ -62,6 +68,7 @@ QUERIES = {
     "op2_sketch": op2_sketch,
     "op3_pieces": op3_pieces,
     "op5_mix": op5_mix,
+    "op6_nearest": op6_nearest,
     "op7_language": op7_language,
     "op8_quality": op8_quality,
     "op10_chat": op10_chat,
