@@ -54,3 +54,41 @@ def slices(batch: pa.RecordBatch, rows: int = 256) -> Iterator[pa.RecordBatch]:
     """Parts of a batch, so that what Python builds from texts stays small."""
     for start in range(0, batch.num_rows, rows):
         yield batch.slice(start, rows)
+
+
+def components(links: DataFrame, purpose: str) -> DataFrame:
+    """node, root for links (a, b): root is the smallest node that links reach.
+
+    Stars are contracted towards smaller nodes (large star, small star) until nothing
+    changes.  Each step is a minimum per node and a join; nodes without links are left out.
+    """
+
+    def state(edges: DataFrame) -> tuple:
+        return tuple(
+            edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
+        )
+
+    # a > b throughout.
+    edges = links.where("a != b").select(
+        F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")
+    )
+    edges = written(edges.distinct(), purpose)
+    now, before = state(edges), None
+    while now != before:
+        both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        least = both.groupBy("a").agg(F.min("b").alias("m"))
+        least = least.select("a", F.least("a", "m").alias("m"))
+        large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), "m")
+        large = written(large.where("a != m").distinct(), purpose)
+        least = large.groupBy("a").agg(F.min("m").alias("least"))
+        small = large.join(least, "a")
+        small = (
+            small.where("m != least")
+            .select(F.col("m").alias("a"), F.col("least").alias("b"))
+            .unionByName(least.select("a", F.col("least").alias("b")))
+        )
+        edges = written(small.distinct(), purpose)
+        now, before = state(edges), now
+    return edges.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(
+        edges.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct()
+    )

@@ -9,16 +9,28 @@ look at few symbols without missing any.
 
 from __future__ import annotations
 
-from functools import cache
+from collections.abc import Callable
 from typing import NamedTuple
 
 import numpy as np
 
+
+
+def remembered(function: Callable) -> Callable:
+    """Like functools.cache, but a plain function, which can travel to executors."""
+    known: dict = {}
+
+    def call(*args):
+        if args not in known:
+            known[args] = function(*args)
+        return known[args]
+
+    return call
+
+
 U64 = np.uint64
 BASE = 0x9E3779B97F4A7C15 | 1
 OTHER_BASE = 0xD1B54A32D192ED03 | 1
-#: Symbols hashed at a time; keeps the arrays within a processor's cache.
-BLOCK = 1 << 16
 
 
 class Stretches(NamedTuple):
@@ -40,7 +52,7 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> U64(32))
 
 
-@cache
+@remembered
 def _powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
     """base**i and base**-i modulo 2**64 for i up to n."""
     inverse = pow(base, -1, 1 << 64)
@@ -100,3 +112,24 @@ def stretches(symbols: np.ndarray, width: int, gram: int) -> Stretches:
         span_hashes(symbols, start, end),
         span_hashes(symbols, start, end, OTHER_BASE),
     )
+
+
+#: Bytes that separate words: space, tab, line feed, vertical tab, form feed, return.
+BLANK = np.zeros(256, bool)
+BLANK[[32, 9, 10, 11, 12, 13]] = True
+#: A 64-bit number for each byte.
+BYTE_SYMBOLS = mix(np.arange(256, dtype=U64) + U64(0x5851F42D4C957F2D))
+
+
+def word_spans(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First byte of each word of a text's bytes, and the byte after its last."""
+    inside = np.zeros(len(data) + 2, np.int8)
+    inside[1:-1] = ~BLANK[data]
+    change = np.diff(inside)
+    return np.flatnonzero(change == 1), np.flatnonzero(change == -1)
+
+
+def word_hashes(data: np.ndarray) -> np.ndarray:
+    """A hash of each word of a text's bytes."""
+    starts, ends = word_spans(data)
+    return span_hashes(BYTE_SYMBOLS[data], starts, ends)
