@@ -40,25 +40,26 @@ class MergeVocabulary:
     def __init__(self, model: bytes):
         self.library = sentencepiece.SentencePieceProcessor(model_proto=model)
         lib = self.library
-        size = lib.vocab_size()
-        self.pieces = [lib.id_to_piece(i) for i in range(size)]
-        self.byte_ids = [lib.piece_to_id(f"<0x{b:02X}>") for b in range(256)]
-        self.byte_of = {i: b for b, i in enumerate(self.byte_ids) if lib.is_byte(i)}
-        if len(self.byte_of) != 256 or any(lib.is_unused(i) for i in range(size)):
+        every = range(lib.vocab_size())
+        self.pieces = lib.id_to_piece([*every])
+        scores = lib.get_score([*every])
+        control, unknown, byte, unused = (
+            {i for i, held in zip(every, kind([*every]), strict=True) if held}
+            for kind in (lib.is_control, lib.is_unknown, lib.is_byte, lib.is_unused)
+        )
+        if len(byte) != 256 or unused:
             raise ValueError("the model must have byte pieces and no unused pieces")
-        self.silent = {i for i in range(size) if lib.is_control(i)}
+        self.byte_ids = lib.piece_to_id([f"<0x{b:02X}>" for b in range(256)])
+        self.byte_of = {i: b for b, i in enumerate(self.byte_ids)}
         self.said = [
-            "" if i in self.silent else piece.replace(SPACE, " ")
+            "" if i in control else piece.replace(SPACE, " ")
             for i, piece in enumerate(self.pieces)
         ]
         self.begin, self.end = lib.bos_id(), lib.eos_id()
-        self.ids = {
-            piece: i
-            for i, piece in enumerate(self.pieces)
-            if not (lib.is_control(i) or lib.is_unknown(i) or lib.is_byte(i))
-        }
-        # The best score comes off a heap first, so scores are stored negated.
-        self.costs = {piece: -lib.get_score(i) for piece, i in self.ids.items()}
+        special = control | unknown | byte
+        self.ids = {p: i for i, p in enumerate(self.pieces) if i not in special}
+        # The best score comes off the agenda first, so scores are stored negated.
+        self.costs = {piece: -scores[i] for piece, i in self.ids.items()}
         joined = "".join(piece for piece in self.ids if len(piece) > 1)
         alone = "".join(c for c in "\n\t\r" if c not in joined)
         if any(SPACE in piece.lstrip(SPACE) for piece in self.ids):
@@ -173,7 +174,7 @@ class MergeVocabulary:
             for i in ids:
                 if i in self.byte_of:
                     run.append(self.byte_of[i])
-                elif i not in self.silent:
+                elif self.said[i]:
                     parts.append(run.decode(errors="replace"))
                     run = bytearray()
                     parts.append(self.said[i])
