@@ -15,12 +15,17 @@ from mailstream.llm.mixing import mix_sources
 from mailstream.llm.pieces import encode_pieces
 from mailstream.llm.quality import fit_quality, score_quality
 from mailstream.llm.sketches import fingerprints
+from mailstream.llm.suffixes import remove_repeated_bytes
 
 
 def fold(doc_id: Column, folds: int) -> Column:
     return F.pmod(F.crc32(F.coalesce(doc_id.cast("string"), F.lit(""))), F.lit(folds))
 
 
+def op1_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeated_bytes(table(spark, sf_dir, "documents")).drop("kept")
+
+
 def op2_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints(table(spark, sf_dir, "documents"))
 
@@ -70,6 +75,7 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_suffixes": op1_suffixes,
     "op2_sketch": op2_sketch,
     "op3_pieces": op3_pieces,
     "op5_mix": op5_mix,

@@ -40,7 +40,6 @@ class Stretches(NamedTuple):
     start: np.ndarray  # first window's first symbol
     windows: np.ndarray  # number of windows
     content: np.ndarray  # hash of all symbols of the stretch
-    check: np.ndarray  # a second, independent hash of them
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -94,7 +93,7 @@ def stretches(symbols: np.ndarray, width: int, gram: int) -> Stretches:
     n = len(symbols) - width + 1
     if n <= 0:
         none = np.zeros(0, U64)
-        return Stretches(none, none.astype(np.int64), none.astype(np.int64), none, none)
+        return Stretches(none, none.astype(np.int64), none.astype(np.int64), none)
     grams = span_hashes(
         symbols,
         first := np.arange(len(symbols) - gram + 1),
@@ -110,7 +109,6 @@ def stretches(symbols: np.ndarray, width: int, gram: int) -> Stretches:
         start,
         windows,
         span_hashes(symbols, start, end),
-        span_hashes(symbols, start, end, OTHER_BASE),
     )
 
 
