@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mailstream.llm.ann import nearest
+from mailstream.llm.bruijn import remove_repeated_words
 from mailstream.llm.chat import format_chats, read_chats
 from mailstream.llm.common import table
 from mailstream.llm.jaccard import jaccard_components
@@ -23,7 +24,7 @@ def fold(doc_id: Column, folds: int) -> Column:
 
 
 def op1_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return remove_repeated_bytes(table(spark, sf_dir, "documents")).drop("kept")
+    return remove_repeated_bytes(table(spark, sf_dir, "documents"))
 
 
 def op2_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -36,6 +37,10 @@ def op3_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_pieces(docs, model, with_ids=False, with_text=False)
 
 
+def op4_bruijn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeated_words(table(spark, sf_dir, "documents")).drop("kept")
+
+
 def op5_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(table(spark, sf_dir, "documents")).drop("doc_no")
 
@@ -78,6 +83,7 @@ QUERIES = {
     "op1_suffixes": op1_suffixes,
     "op2_sketch": op2_sketch,
     "op3_pieces": op3_pieces,
+    "op4_bruijn": op4_bruijn,
     "op5_mix": op5_mix,
     "op6_nearest": op6_nearest,
     "op7_language": op7_language,

@@ -23,14 +23,15 @@ NO_ID = -(1 << 63)
 Symbols = Callable[[np.ndarray], np.ndarray]
 
 
-def keyed(docs: DataFrame) -> DataFrame:
-    """key, doc (doc_id as a number to compare), doc_id and text of each row."""
+def keyed(docs: DataFrame, *carried: str) -> DataFrame:
+    """key, doc (doc_id as a number to compare), doc_id, text and `carried` of each row."""
     doc_id = docs["doc_id"].cast("long")
     return docs.select(
         F.xxhash64(doc_id, docs["text"]).alias("key"),
         F.coalesce(doc_id, F.lit(NO_ID)).alias("doc"),
         doc_id.alias("doc_id"),
         text_or_empty().alias("text"),
+        *[docs[name].alias(f"_{name}") for name in carried],
     )
 
 
