@@ -113,7 +113,7 @@ class LanguageModel:
                 for q in family[i + 1 :]:
                     rows = (labels == p) | (labels == q)
                     pairs[p, q] = _machine(x[rows], np.where(labels[rows] == p, 1.0, -1.0))
-        return cls(families, np.array(against).reshape(len(families), -1), pairs)
+        return cls(families, np.array(against).reshape(-1, BUCKETS + 1), pairs)
 
     def predict(self, x: np.ndarray) -> tuple[list[str], np.ndarray]:
         """A language and a score for each row of features."""
@@ -160,11 +160,14 @@ def fit_languages(
     labelled = labelled.select("doc_id", "text", "lang").where(
         F.col("lang").isNotNull() & F.col("text").isNotNull()
     )
-    counts = labelled.groupBy("lang").agg(F.count("*").alias("rows"))
+    # One row for each language; the model keeps as many.
+    counts = {row["lang"]: row["count"] for row in labelled.groupBy("lang").count().collect()}
     spot = F.pmod(F.xxhash64("doc_id", F.lit("language")), F.lit(1 << 30)) / float(1 << 30)
-    chosen = labelled.join(counts, "lang").where(
-        spot < F.lit(float(rows_per_language)) / F.col("rows")
-    )
+    chosen = labelled.where(F.lit(False))
+    if counts:
+        shares = [(F.lit(n), F.lit(rows_per_language / c)) for n, c in counts.items()]
+        share = F.create_map(*[x for pair in shares for x in pair])
+        chosen = labelled.where(spot < F.try_element_at(share, F.col("lang")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
