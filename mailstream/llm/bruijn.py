@@ -118,7 +118,7 @@ def compact(edges: DataFrame) -> DataFrame:
     )
     open_before = None
     while True:
-        heads = state.where("path = kmer").select(F.col("kmer").alias("path"))
+        heads = state.where("path = kmer and position = 0").select(F.col("kmer").alias("path"))
         unfinished = state.join(heads, "path", "left_anti")
         open_now = unfinished.count()
         # Rings never come to a head: their number stays while everything else settles.

@@ -36,7 +36,7 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
 
 def sketch(text: Column, fraction: float = FRACTION) -> Column:
     """Ascending distinct hashes below the fraction, as array<long>."""
-    limit = F.lit(int(fraction * 2.0**63))
+    limit = F.lit(min(int(fraction * 2.0**63), (1 << 63) - 1))
 
     def shingles(words: Column) -> Column:
         last = F.greatest(F.size(words) - SHINGLE_WORDS, F.lit(0))
