@@ -11,9 +11,9 @@ of its smaller set.
 
 Equal sets are one class.  Classes that share a signature are verified on their whole
 sets: first each class with the smallest of its bucket; then, where a bucket still holds
-classes of different components, the pairs between those.  Links within a component change
-nothing and are not looked for again, so copies never become all pairs, and no link
-between different components is lost.
+classes of different components, block by block.  Links within a component change nothing
+and are not looked for again, so copies never become all pairs, and no link between
+different components is lost.
 
 Null or wordless text has an empty set and links with nothing.  Repeated rows are equal
 sets.  Null doc_id links like any other but never names a component.  Only doc_id and text
@@ -26,6 +26,7 @@ import math
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -42,6 +43,9 @@ from mailstream.llm.stretches import (
 
 #: What a class that meets others by a segment of one or no shingle costs, in index rows.
 CROWD_ROWS = 200.0
+#: Classes of a block, and shingles of a block that are compared at a time.
+BLOCK_SETS = 256
+BLOCK_TOKENS = 8192
 
 
 def shingle_set(text: str, shingle: int = 3) -> np.ndarray:
@@ -166,6 +170,95 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return joined.mapInArrow(run, "a long, b long")
 
 
+def _block_links(
+    keys: np.ndarray, roots: np.ndarray, sets: list[np.ndarray], second: np.ndarray, percent: int
+) -> list[tuple[int, int]]:
+    """Links that join different roots, no more than a tree of them.
+
+    `second` tells the rows of the second block; pairs within the first are left to the
+    pair of that block with itself.
+    """
+    sizes = np.array([len(x) for x in sets])
+    owner = np.repeat(np.arange(len(sets)), sizes)
+    tokens, column = np.unique(np.concatenate(sets), return_inverse=True)
+    order = np.argsort(column, kind="stable")
+    owner, column = owner[order], column[order]
+    rows, columns = np.flatnonzero(~second), np.flatnonzero(second)
+    if not len(columns):
+        rows = columns = np.arange(len(sets))
+    common = np.zeros((len(rows), len(columns)), np.float32)
+    for start in range(0, len(tokens), BLOCK_TOKENS):
+        low, high = np.searchsorted(column, [start, start + BLOCK_TOKENS])
+        held = np.zeros((len(sets), BLOCK_TOKENS), np.float32)
+        held[owner[low:high], column[low:high] - start] = 1
+        common += held[rows] @ held[columns].T
+    either = sizes[rows][:, None] + sizes[columns] - common
+    near = (100 * common >= percent * either) & (roots[rows][:, None] != roots[columns])
+    chosen, found = {}, []
+
+    def top(root: int) -> int:
+        while root in chosen:
+            root = chosen[root]
+        return root
+
+    for i, j in zip(*np.nonzero(near), strict=True):
+        a, b = top(roots[rows[i]]), top(roots[columns[j]])
+        if a != b:
+            chosen[max(a, b)] = min(a, b)
+            found.append((int(keys[rows[i]]), int(keys[columns[j]])))
+    return found
+
+
+def _links_between(
+    crowd: DataFrame, roots: DataFrame, sets: DataFrame, percent: int
+) -> DataFrame:
+    """Links between components that share a bucket, from blocks of whole sets.
+
+    Classes of such buckets that hang together are dealt into blocks; each two blocks that
+    share a bucket meet once, as a matrix product in one task, so that the rows of a large
+    group grow with its blocks and never become pairs of classes.
+    """
+    placed = crowd.select("signature", "key").join(
+        roots.withColumnRenamed("node", "key"), "key", "left"
+    )
+    placed = placed.select("signature", "key", F.coalesce("root", "key").alias("root"))
+    buckets = placed.groupBy("signature").agg(
+        F.min("root").alias("r"), F.max("root").alias("s"), F.min("key").alias("first")
+    )
+    buckets = buckets.where("r != s").select("signature", "first")
+    placed = written(placed.join(buckets, "signature"), "jaccard-open")
+    together = components(
+        placed.select(F.col("key").alias("a"), F.col("first").alias("b")), "jaccard-together"
+    ).withColumnRenamed("root", "cluster")
+    sizes = together.groupBy("cluster").agg(F.count("*").alias("classes"))
+    block = F.pmod(
+        F.xxhash64("node").cast("long"), F.ceil(F.col("classes") / BLOCK_SETS)
+    ).cast("int")
+    blocks = together.join(sizes, "cluster").select(
+        F.col("node").alias("key"), "cluster", block.alias("block")
+    )
+    blocks = written(blocks, "jaccard-blocks")
+    in_bucket = placed.join(blocks, "key").select("signature", "cluster", "block").distinct()
+    second = in_bucket.select("signature", F.col("block").alias("other"))
+    meetings = in_bucket.join(second, "signature").where("block <= other")
+    meetings = meetings.select("cluster", "block", "other").distinct()
+    classes = placed.select("key", "root").distinct().join(blocks, "key")
+    first_side = meetings.join(classes, ["cluster", "block"]).withColumn("second", F.lit(False))
+    second_side = meetings.where("block < other").join(
+        classes.withColumnRenamed("block", "other"), ["cluster", "other"]
+    )
+    second_side = second_side.withColumn("second", F.lit(True))
+    rows = first_side.unionByName(second_side).join(sets, "key")
+
+    def run(group: pd.DataFrame) -> pd.DataFrame:
+        hashes = [np.frombuffer(x, U64) for x in group["hashes"]]
+        keys, tops = group["key"].to_numpy(), group["root"].to_numpy()
+        found = _block_links(keys, tops, hashes, group["second"].to_numpy(bool), percent)
+        return pd.DataFrame(found, columns=["a", "b"])
+
+    return rows.groupBy("cluster", "block", "other").applyInPandas(run, "a long, b long")
+
+
 def jaccard_components(docs: DataFrame, percent: int = 90, shingle: int = 3) -> DataFrame:
     """doc_id, n_shingles, component_id for every row of `docs`."""
 
@@ -209,22 +302,7 @@ def jaccard_components(docs: DataFrame, percent: int = 90, shingle: int = 3) ->
     )
     links = written(_verified(pairs, sets, percent), "jaccard-links")
     roots = written(components(links, "jaccard-stars"), "jaccard-roots")
-    # Buckets whose members are not yet one component: every pair between components.
-    placed = crowd.select("signature", "key").join(
-        roots.withColumnRenamed("node", "key"), "key", "left"
-    )
-    placed = placed.select("signature", "key", F.coalesce("root", "key").alias("root"))
-    open_ = placed.groupBy("signature").agg(F.min("root").alias("r"), F.max("root").alias("s"))
-    placed = placed.join(open_.where("r != s").select("signature"), "signature")
-    other = placed.select(
-        "signature", F.col("key").alias("b"), F.col("root").alias("other_root")
-    )
-    rest = placed.withColumnRenamed("key", "a").join(other, "signature")
-    rest = rest.where("root > other_root").select(
-        F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")
-    )
-    rest = written(rest.distinct().join(pairs, ["a", "b"], "left_anti"), "jaccard-rest")
-    more = written(_verified(rest, sets, percent), "jaccard-more-links")
+    more = written(_links_between(crowd, roots, sets, percent), "jaccard-more-links")
     if not more.isEmpty():
         links = links.unionByName(more)
         roots = written(components(links, "jaccard-stars"), "jaccard-roots")

@@ -8,7 +8,7 @@ from itertools import combinations
 import pytest
 from pyspark.sql import functions as F
 
-from mailstream.llm import sketches
+from mailstream.llm import jaccard, sketches
 from mailstream.llm.common import components
 from mailstream.llm.jaccard import allocation, band_edges, jaccard_components, shingle_set
 
@@ -52,8 +52,10 @@ def brute_components(rows):
     return sorted((d, len(s), least[r]) for (d, _), s, r in zip(rows, sets, root))
 
 
-@pytest.mark.parametrize("seed", [1, 2])
-def test_components_as_by_brute_force(spark, seed):
+@pytest.mark.parametrize(("seed", "block"), [(1, 256), (2, 2)])
+def test_components_as_by_brute_force(spark, monkeypatch, seed, block):
+    monkeypatch.setattr(jaccard, "BLOCK_SETS", block)
+    monkeypatch.setattr(jaccard, "BLOCK_TOKENS", 8 * block)
     rows = near_texts(seed)
     docs = spark.createDataFrame([(*r, 1, "x") for r in rows], "doc_id long, text string, key int, root string")
     assert sorted(map(tuple, jaccard_components(docs).collect())) == brute_components(rows)
