@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from mailstream.llm.common import text_or_empty, words_of
+from mailstream.llm.common import text_or_empty, words_of, written
 
 SHINGLE_WORDS = 5
 FRACTION = 0.25
@@ -120,7 +120,10 @@ def with_next(docs: DataFrame) -> tuple[DataFrame, Window]:
         )
     )
     named = heads.select(F.col("group").alias("next_group"), "head_id")
-    extra = following.join(named, "next_group").select("group", "head_id")
+    # Written, so that Spark knows its size when it chooses how the texts meet it.
+    extra = written(
+        following.join(named, "next_group").select("group", "head_id"), "sketch-heads"
+    )
     firsts_text = (
         rows.join(
             extra.select("head_id").distinct(),
