@@ -14,11 +14,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
+from mailstream.functions.agents import BROWSERS, SYSTEMS, rules_from_json
 from mailstream.operators.geo import geo_blocks
 from mailstream.operators.lookup import Lookup, lookup_table
 from mailstream.plans.schemas import ACTIONS_REPORT, LOGS_REPORT, USER_AGENT_REPORT
 from mailstream.session import build_session
-from mailstream.sources.geo import read_geo_blocks
+from mailstream.sources.geo import read_geo_blocks, read_geo_blocks6
 from mailstream.sources.jdbc import (
     ACTIONS_TABLE,
     DIMENSION_DATABASE,
@@ -62,7 +63,10 @@ def parser() -> argparse.ArgumentParser:
     options.add_argument("--click-label", default="click", help="label of click rows (actions)")
     options.add_argument("--unsub-label", default="unsub", help="label of unsubscribe rows (actions)")
     options.add_argument("--topic", default=ACTION_TOPICS["click"], help="topic (user-agents)")
-    options.add_argument("--console", action="store_true", help="show results (user-agents)")
+    options.add_argument(
+        "--console", type=int, default=0, metavar="ROWS", help="preview rows (user-agents)"
+    )
+    options.add_argument("--agent-rules", help="JSON file of more rules (user-agents)")
     options.add_argument("--no-fail-on-data-loss", action="store_true")
     options.add_argument("--max-offsets", type=int, help="messages per micro-batch and topic")
     options.add_argument("--cache-lookups", action="store_true")
@@ -103,11 +107,12 @@ def start(spark: SparkSession, args: argparse.Namespace) -> list[StreamingQuery]
         labels = {"open": "open", "click": args.click_label, "unsub": args.unsub_label}
         topics = [(labels[name], _topic(spark, args, ACTION_TOPICS[name])) for name in labels]
         networks = read_geo_blocks(spark, args.networks, args.places)
+        networks6 = read_geo_blocks6(spark, args.networks, args.places)
         return start_actions(
             topics,
             _lookup(spark, args, ISP_TABLE),
             _lookup(spark, args, LIST_TABLE),
-            geo_blocks(networks, cache=args.cache_lookups),
+            geo_blocks(networks, cache=args.cache_lookups, blocks6=networks6),
             write,
             args.checkpoint,
             trigger,
@@ -117,8 +122,11 @@ def start(spark: SparkSession, args: argparse.Namespace) -> list[StreamingQuery]
         return start_logs(bounces, deliveries, write, args.archive, args.checkpoint, trigger)
     lines = _topic(spark, args, args.topic)
     isp_domains = _lookup(spark, args, ISP_TABLE)
+    browsers, systems = BROWSERS, SYSTEMS
+    if args.agent_rules:
+        browsers, systems = rules_from_json(args.agent_rules)
     return start_user_agents(
-        lines, isp_domains, args.checkpoint, None if args.console else write, trigger
+        lines, isp_domains, args.checkpoint, write, trigger, args.console, browsers, systems
     )
 
 

@@ -35,7 +35,9 @@ def lists(spark: SparkSession, sf_dir: str) -> Lookup:
 
 
 def blocks(spark: SparkSession, sf_dir: str) -> GeoBlocks:
-    return geo_blocks(fx.nation_blocks(spark, sf_dir))
+    return geo_blocks(
+        fx.nation_blocks(spark, sf_dir), blocks6=fx.nation_blocks6(spark, sf_dir)
+    )
 
 
 def _all_actions(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -11,29 +11,24 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# The user agents of action lines, by `event_id % 8`; number 7 is
-# the empty text.
-USER_AGENTS = (
-    "Mozilla/5.0 (Windows NT 10.0; Win64; x64) AppleWebKit/537.36 (KHTML||| like Gecko) Chrome/114.0.5735.199 Safari/537.36",
-    "Mozilla/5.0 (iPhone; CPU iPhone OS 16_5 like Mac OS X) AppleWebKit/605.1.15 (KHTML||| like Gecko) Version/16.5 Mobile/15E148 Safari/604.1",
-    "Mozilla/5.0 (iPad; CPU OS 15_2 like Mac OS X) AppleWebKit/605.1.15 (KHTML||| like Gecko) Version/15.2 Mobile/15E148 Safari/604.1",
-    "Mozilla/5.0 (Linux; Android 13; SM-S901B) AppleWebKit/537.36 (KHTML||| like Gecko) Chrome/112.0.0.0 Mobile Safari/537.36",
-    "Mozilla/5.0 (X11; Linux x86_64; rv:109.0) Gecko/20100101 Firefox/115.0",
-    "curl/8.0",
-    "Mozilla/5.0 (Macintosh; Intel Mac OS X 10_15_7) AppleWebKit/605.1.15 (KHTML||| like Gecko) Version/16.5 Safari/605.1.15",
-    "",
-)
+from mailstream.catalog.agent_cases import AGENT_CASES
+
+# One text for each remainder of `event_id`; the empty text is among them.
+USER_AGENTS = tuple(text for text, _ in AGENT_CASES)
 
 # Event type that stands for each topic.
 ACTION_EVENTS = {"open": "view", "click": "click", "unsub": "signup"}
 LOG_EVENTS = {"bounce": "error", "delivered": "purchase"}
 
 _AGENT = (
-    "case event_id % 8 "
-    + " ".join(f"when {n} then '{text}'" for n, text in enumerate(USER_AGENTS[:-1]))
-    + " else '' end"
+    f"case event_id % {len(USER_AGENTS)} "
+    + " ".join(f"when {n} then '{text}'" for n, text in enumerate(USER_AGENTS))
+    + " end"
 )
 
+_DOTTED = """concat_ws('.', cast(event_id % 223 + 1 as {S}), cast(user_id % 256 as {S}),
+      cast(event_id % 7 as {S}), '9')"""
+
 _ACTION_LINE = f"""case
   when event_id % 97 = 0 then concat_ws(',', cast(event_id as {{S}}), 'evt', 'job1')
   when event_id % 109 = 0 then concat_ws(',', cast(event_id as {{S}}), 'evt', 'job2', '5', '1',
@@ -41,8 +36,14 @@ _ACTION_LINE = f"""case
   else concat_ws(',', cast(event_id as {{S}}), 'evt', concat('job', cast(user_id % 20 as {{S}})),
     cast(event_id % 10 as {{S}}), cast(event_id % 8 as {{S}}),
     case when event_id % 101 = 0 then 'baddate' else substring(cast(ts as {{S}}), 1, 19) end,
-    case when event_id % 113 = 0 then 'not-an-ip' else concat_ws('.', cast(event_id % 223 + 1 as {{S}}),
-      cast(user_id % 256 as {{S}}), cast(event_id % 7 as {{S}}), '9') end,
+    case when event_id % 113 = 0 then 'not-an-ip'
+      when event_id % 37 = 0 then concat('2001:db8:', lower(hex(user_id % 256)), '::', lower(hex(event_id % 65536)))
+      when event_id % 41 = 0 then concat('2001:0DB8:', hex(user_id % 256), ':',
+        case when event_id % 2 = 0 then '8000' else '7FFF' end, ':0:0:0:', hex(event_id % 65536))
+      when event_id % 43 = 0 then concat('::ffff:', {_DOTTED})
+      when event_id % 47 = 0 then '2001:db8::1::2'
+      when event_id % 53 = 0 then '2001:db8:1:2:3'
+      else {_DOTTED} end,
     '', {_AGENT}, '', '', cast(user_id % 130 as {{S}}), '',
     case when event_id % 103 = 0 then 'x' else cast(event_id % 28 as {{S}}) end) end"""
 
@@ -121,6 +122,23 @@ def nation_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def nation_blocks6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A /48 prefix, or the lower /49 half of one, for each of the same numbers."""
+    nation = spark.read.parquet(f"{sf_dir}/nation.parquet")
+    return (
+        spark.range(256)
+        .where("id % 9 <> 0")
+        .join(nation, F.col("n_nationkey") == F.col("id") % 25)
+        .select(
+            # 2001:db8:<id>::
+            (F.lit(0x20010DB8 << 32) + F.shiftleft("id", 16)).alias("net_hi"),
+            F.lit(0).cast("bigint").alias("net_lo"),
+            F.expr("int(if(id % 9 = 1, 49, 48))").alias("prefix"),
+            F.col("n_name").alias("country"),
+        )
+    )
+
+
 def customer_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One block per customer, spread evenly over all addresses: many blocks that
     grow with the data.  A block ends 300 addresses before the next begins."""

@@ -6,10 +6,10 @@ against hand-written expected values, addresses against a plain range join.
 
 from __future__ import annotations
 
+from mailstream.catalog.agent_cases import AGENT_CASES, MISSING_AGENT
 from mailstream.catalog.fixtures import (
     ACTION_EVENTS,
     LOG_EVENTS,
-    USER_AGENTS,
     line_sql,
     topic_event,
 )
@@ -48,13 +48,25 @@ rows as (select server_name, date, email_domain, job_id, "user", domain, ip, typ
   case when type = 'bounce' then {_BOUNCE_TYPE} end as bounce_type
   from decoded where try_cast(is_seed as integer) = 0)"""
 
-_OCTETS = [f"try_cast(split_part(request_ip, '.', {n}) as bigint)" for n in (1, 2, 3, 4)]
+# An address that stands for an IPv4 address ends with it.
+_IPV4 = "regexp_replace(request_ip, '^::ffff:', '')"
+_OCTETS = [f"try_cast(split_part({_IPV4}, '.', {n}) as bigint)" for n in (1, 2, 3, 4)]
 _ADDRESSES = f"""
 addresses as (select *, case when
-    regexp_full_match(request_ip, '([0-9]{{1,3}}\\.){{3}}[0-9]{{1,3}}')
+    regexp_full_match({_IPV4}, '([0-9]{{1,3}}\\.){{3}}[0-9]{{1,3}}')
     and greatest({', '.join(_OCTETS)}) < 256
   then ({_OCTETS[0]} * 16777216 + {_OCTETS[1]} * 65536 + {_OCTETS[2]} * 256 + {_OCTETS[3]})
-  end as address from decoded)"""
+  end as address,
+  case when regexp_full_match(request_ip, '2001:db8:[0-9a-f]+::[0-9a-f]+')
+    or regexp_full_match(request_ip, '2001:0DB8:[0-9A-F]+:[78][0-9A-F]+(:[0-9A-F]+){{4}}')
+  then cast('0x' || split_part(request_ip, ':', 3) as bigint) end as net6,
+  split_part(request_ip, ':', 4) = '8000' as upper6 from decoded)"""
+
+_NATION_BLOCKS6 = """
+blocks6 as (select id, id % 9 = 1 as lower_only, n_name as country6
+  from (select range as id from range(256)) join nation
+  on n_nationkey = id % 25 where id % 9 <> 0)"""
+_JOIN6 = "left join blocks6 on net6 = id and not (lower_only and upper6)"
 
 _NATION_BLOCKS = """
 blocks as (select id * 16777216 + 1000 as lo, id * 16777216 + 1000 + 8388608 + 12345 as hi,
@@ -67,20 +79,6 @@ blocks as (select c_custkey * size as lo, c_custkey * size + size - 301 as hi,
   n_name as country from customer cross join stride
   join nation on c_nationkey = n_nationkey)"""
 
-# What each user agent must give, in the order of USER_AGENTS.
-EXPECTED_AGENTS = (
-    ("Chrome", "114.0.5735", "Windows", "10", "Other", None, None, "pc", 0),
-    ("Mobile Safari", "16.5", "iOS", "16.5", "iPhone", "Apple", "iPhone", "mobile", 1),
-    ("Mobile Safari", "15.2", "iOS", "15.2", "iPad", "Apple", "iPad", "tablet", 1),
-    ("Chrome Mobile", "112.0.0", "Android", "13", "Samsung SM-S901B", "Samsung", "SM-S901B", "mobile", 1),
-    ("Firefox", "115.0", "Linux", "", "Other", None, None, "pc", 0),
-    ("curl", "8.0", "Other", "", "Other", None, None, "other", 0),
-    ("Safari", "16.5", "Mac OS X", "10.15.7", "Mac", "Apple", "Mac", "pc", 0),
-    ("Other", "", "Other", "", "Other", None, None, "other", 0),
-)
-EXPECTED_NULL_AGENT = (None,) * 7 + ("other", 2)
-
-
 def _literal(value: str | int | None) -> str:
     if value is None:
         return "null"
@@ -88,8 +86,7 @@ def _literal(value: str | int | None) -> str:
 
 
 def _agent_table() -> str:
-    texts = (*USER_AGENTS, None)
-    rows = zip(texts, (*EXPECTED_AGENTS, EXPECTED_NULL_AGENT))
+    rows = (*AGENT_CASES, (None, MISSING_AGENT))
     values = ", ".join(
         "(" + ", ".join(_literal(value) for value in (text, *fields)) + ")"
         for text, fields in rows
@@ -112,10 +109,11 @@ _AGENTS = f"{_ACTIONS}, {_agent_table()}"
 _KNOWN = "where rcpt_id <> '0'"
 _ACTION_ROWS = "job_id, date, vmta_id, request_ip, list_id, isp_id, type"
 
-_ENRICHED = f"""{_ACTIONS}, {_ADDRESSES}, {_NATION_BLOCKS},
-enriched as (select job_id, date, vmta_id, country, d.n_name as domain_name,
+_ENRICHED = f"""{_ACTIONS}, {_ADDRESSES}, {_NATION_BLOCKS}, {_NATION_BLOCKS6},
+enriched as (select job_id, date, vmta_id, coalesce(country, country6) as country, d.n_name as domain_name,
   s.s_name as list_name, type from addresses
   left join blocks on address between lo and hi
+  {_JOIN6}
   left join nation d on try_cast(isp_id as bigint) = d.n_nationkey
   left join supplier s on try_cast(list_id as bigint) = s.s_suppkey {_KNOWN})"""
 
@@ -159,7 +157,9 @@ ORACLE_SQL: dict[str, str] = {
       from decoded left join nation on try_cast(isp_id as bigint) = n_nationkey""",
     "join_lists": f"""{_ACTIONS} select job_id, date, list_id, s_name as list_name
       from decoded left join supplier on try_cast(list_id as bigint) = s_suppkey""",
-    "ip_to_country": f"{_ACTIONS}, {_ADDRESSES}, {_NATION_BLOCKS} {_COUNTRY}",
+    "ip_to_country": f"""{_ACTIONS}, {_ADDRESSES}, {_NATION_BLOCKS}, {_NATION_BLOCKS6}
+      select job_id, date, request_ip, coalesce(country, country6) as country from addresses
+      left join blocks on address between lo and hi {_JOIN6}""",
     "ip_to_country_many_blocks": f"{_ACTIONS}, {_ADDRESSES}, {_CUSTOMER_BLOCKS} {_COUNTRY}",
     "parse_user_agent": f"{_AGENTS} select event_id, {_AGENT_COLUMNS} from parsed",
     "union_actions": f"{_ACTIONS} select {_ACTION_ROWS} from decoded {_KNOWN}",
@@ -172,6 +172,7 @@ ORACLE_SQL: dict[str, str] = {
     "actions_rollup": _ACTIONS_ROLLUP,
     "logs_rollup": _LOGS_ROLLUP,
     "logs_archive": f"{_LOGS}, {_LOG_ROWS} select * from rows",
+    "logs_backfill": f"{_LOGS}, {_LOG_ROWS} select * from rows",
     "user_agent_rollup": _AGENT_ROLLUP,
     "stream_actions_rollup": _ACTIONS_ROLLUP,
     "stream_logs_rollup": _LOGS_ROLLUP,

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from mailstream.catalog import fixtures as fx
 from mailstream.catalog.batch import blocks, isp_domains, lists, q_logs_rollup, q_union_logs
+from mailstream.operators.rollup import union_rows
 from mailstream.plans.schemas import (
     ACTIONS_REPORT,
     LOG_ARCHIVE,
@@ -93,9 +94,29 @@ def q_stream_user_agent_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_logs_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows of both topics, written as date-partitioned CSV and read back."""
-    path = shared_folder(spark, "archive")
-    write_csv_archive(q_union_logs(spark, sf_dir), path)
+    """Both folders that the streams of the job fill, read back."""
+    folder = shared_folder(spark, "archive")
+    queries = start_logs(
+        _topic_stream(spark, sf_dir, "bounce", folder),
+        _topic_stream(spark, sf_dir, "delivered", folder),
+        snapshot_writer(SnapshotTable(f"{folder}/report", LOGS_REPORT)),
+        f"{folder}/archive",
+        f"{folder}/checkpoints",
+        ALL_NOW,
+    )
+    await_queries(queries)
+    bounced, delivered = (
+        read_csv_archive(spark, f"{folder}/archive/{name}", LOG_ARCHIVE)
+        for name in ("bounced", "delivered")
+    )
+    return union_rows(bounced, delivered)
+
+
+def q_logs_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same rows, written by a batch that is run twice."""
+    path = f"{shared_folder(spark, 'backfill')}/logs"
+    for _ in range(2):
+        write_csv_archive(q_union_logs(spark, sf_dir), path)
     return read_csv_archive(spark, path, LOG_ARCHIVE)
 
 

@@ -2,9 +2,9 @@
 
 The rules are tables that become literal arrays and maps, so the generated code
 stays the same size however many rules there are.  A text is cut into words once.
-The first word of a table that is among them picks the rule, and the first of that
-word's variants that is also there refines it.  The tables are a documented subset
-of what a full parser database knows; pass longer ones to `parse_user_agent`.
+The first rule of a table whose word, and whose variant if it has one, are among them
+is taken.  The tables are a documented subset of what a full parser database knows;
+`rules_from_json` reads more from a file, for the reports and `parse_user_agent`.
 """
 
 from __future__ import annotations
@@ -51,7 +51,7 @@ RULE_TYPE = (
 # What a word is, and a version of at most three parts.  Every text
 # ends with an empty word, which the last rule of each table matches.
 WORD = "[A-Za-z0-9_-]+|$"
-VERSION = r"^(\d+(?:[._]\d+){0,2})"
+VERSION = r"^(?:OS )?(\d+(?:[._]\d+){0,2})"
 
 # Devices with a known name.
 SPIDER = Device("Spider", "Spider", "Desktop")
@@ -98,14 +98,17 @@ BROWSERS: tuple[Rule, ...] = (
     Rule("Chrome", "Chrome Mobile WebView", "Chrome/", variant="wv", kind="mobile"),
     Rule("Chrome", "Chrome Mobile", "Chrome/", variant="Mobile", kind="mobile"),
     Rule("Chrome", "Chrome", "Chrome/"),
+    Rule("HeadlessChrome", "HeadlessChrome", "HeadlessChrome/"),
     Rule("IEMobile", "IE Mobile", "IEMobile/", kind="mobile"),
     Rule("MSIE", "IE", "MSIE "),
     Rule("Trident", "IE", "rv:"),
+    Rule("BlackBerry", "BlackBerry WebKit", "Version/", kind="mobile"),
     Rule("Version", "Android", "Android ", variant="Android"),
     Rule("Version", "Mobile Safari", "Version/", variant="Mobile"),
     Rule("Version", "Safari", "Version/", variant="Safari"),
     Rule("AppleWebKit", "Mobile Safari UI/WKWebView", "iPhone OS ", variant="iPhone"),
     Rule("AppleWebKit", "Mobile Safari UI/WKWebView", "CPU OS ", variant="iPad"),
+    Rule("AppleWebKit", "Apple Mail", "AppleWebKit/", variant="Macintosh"),
     Rule("curl", "curl", "curl/"),
     Rule("Wget", "Wget", "Wget/"),
     Rule("python-requests", "Python Requests", "python-requests/"),
@@ -117,20 +120,20 @@ BROWSERS: tuple[Rule, ...] = (
 
 # Operating systems, first match wins.
 SYSTEMS: tuple[Rule, ...] = (
-    Rule("Windows", "Windows Phone", "Windows Phone OS ", variant="OS", kind="mobile", touch=True),
     Rule("Windows", "Windows Phone", "Windows Phone ", variant="Phone", kind="mobile", touch=True),
     Rule("Windows", "Windows", "Windows NT ", variant="ARM", kind="tablet", touch=True),
     Rule("Windows", "Windows", "Windows NT ", kind="pc"),
     Rule("Android", "Android", "Android ", kind="android", touch=True),
+    Rule("iPod", "iOS", "iPhone OS ", kind="mobile", touch=True, device=IPOD),
     Rule("iPhone", "iOS", "iPhone OS ", kind="mobile", touch=True, device=IPHONE),
     Rule("iPad", "iOS", "CPU OS ", kind="tablet", touch=True, device=IPAD),
-    Rule("iPod", "iOS", "iPhone OS ", kind="mobile", touch=True, device=IPOD),
     Rule("Macintosh", "Mac OS X", "Mac OS X ", kind="pc", device=MAC),
     Rule("CrOS", "Chrome OS", "CrOS x86_64 ", variant="x86_64", kind="pc"),
     Rule("CrOS", "Chrome OS", "CrOS aarch64 ", variant="aarch64", kind="pc"),
     Rule("CrOS", "Chrome OS", "CrOS armv7l ", variant="armv7l", kind="pc"),
     Rule("CrOS", "Chrome OS", kind="pc"),
     Rule("BB10", "BlackBerry OS", "Version/", kind="mobile"),
+    Rule("BlackBerry", "BlackBerry OS", "Version/", kind="mobile"),
     Rule("Tizen", "Tizen", "Tizen "),
     Rule("Ubuntu", "Ubuntu", "Ubuntu/", variant="X11", kind="pc"),
     Rule("Ubuntu", "Ubuntu", "Ubuntu/"),
@@ -217,20 +220,47 @@ def _key(rule: Rule) -> str:
     return f"{rule.word}+{rule.variant}" if rule.variant else rule.word
 
 
-def first_word(words: Column, rules: Sequence[Rule]) -> Column:
-    """The first word of a table among the words of a text, NULL if none is."""
-    return _first_present(_array(list(dict.fromkeys(rule.word for rule in rules))), words)
+def rule_key(words: Column, rules: Sequence[Rule]) -> Column:
+    """Key of the first rule that the words of a text match; NULL without a text.
 
-
-def rule_key(word: Column, words: Column, rules: Sequence[Rule]) -> Column:
-    """`word`, or `word+variant` for the word's first variant in the text."""
+    Only the table's words that the text has are looked at, with the variants of each.
+    """
     variants: dict[str, list[str]] = {}
     for rule in rules:
         if rule.variant:
             variants.setdefault(rule.word, []).append(rule.variant)
-    candidates = F.try_element_at(_map(variants, "array<string>"), word)
-    variant = _first_present(candidates, words)
-    return F.coalesce(F.concat(word, F.lit("+"), variant), word)
+    present = F.array_intersect(
+        _array(list(dict.fromkeys(rule.word for rule in rules))), words
+    )
+
+    def keys(word: Column) -> Column:
+        known = F.try_element_at(_map(variants, "array<string>"), word)
+        found = F.array_intersect(F.coalesce(known, F.array().cast("array<string>")), words)
+        refined = F.transform(found, lambda variant: F.concat(word, F.lit("+"), variant))
+        return F.concat(refined, F.array(word))
+
+    in_order = _array(list(dict.fromkeys(_key(rule) for rule in rules)))
+    return _first_present(in_order, F.flatten(F.transform(present, keys)))
+
+
+def rules_from_json(path: str) -> tuple[tuple[Rule, ...], tuple[Rule, ...]]:
+    """Browser and system tables: the rules of a file before the built-in ones.
+
+    The file holds `{"browsers": [...], "systems": [...]}`, each rule an object with the
+    fields of `Rule`; `device` is an object with those of `Device`.
+    """
+
+    def rule(values: dict) -> Rule:
+        device = values.pop("device", None)
+        return Rule(**values, device=Device(**device) if device else None)
+
+    with open(path, encoding="utf-8") as file:
+        tables = json.load(file)
+    browsers, systems = (
+        tuple(rule(dict(values)) for values in tables.get(name, []))
+        for name in ("browsers", "systems")
+    )
+    return (*browsers, *BROWSERS), (*systems, *SYSTEMS)
 
 
 def rule_struct(key: Column, rules: Sequence[Rule]) -> Column:

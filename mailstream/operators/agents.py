@@ -25,17 +25,9 @@ def parse_user_agent(
     tables = {"browser": browsers, "os": systems}
     text, words, model = F.col("__text"), F.col("__words"), F.col("__model")
     browser, system, device = F.col("__browser"), F.col("__os"), F.col("__device")
-    cut = rows.withColumn("__text", ua.unescape_commas(agent)).withColumns(
-        {"__words": ua.text_words(text), "__model": ua.android_model(text)}
-    )
-    first = cut.withColumns(
-        {f"__{name}": ua.first_word(words, rules) for name, rules in tables.items()}
-    )
-    keyed = first.withColumns(
-        {
-            f"__{name}": ua.rule_key(F.col(f"__{name}"), words, rules)
-            for name, rules in tables.items()
-        }
+    cut = rows.withColumn("__text", ua.unescape_commas(agent))
+    keyed = cut.withColumn("__words", ua.text_words(text)).withColumns(
+        {f"__{name}": ua.rule_key(words, rules) for name, rules in tables.items()}
     )
     ruled = keyed.withColumns(
         {
@@ -43,7 +35,10 @@ def parse_user_agent(
             for name, rules in tables.items()
         }
     )
-    named = ruled.withColumns(
+    # Only Android texts name a model after the system version.
+    on_android = F.when(system["kind"] == "android", ua.android_model(text))
+    modelled = ruled.withColumn("__model", F.coalesce(on_android, F.lit("")))
+    named = modelled.withColumns(
         {
             "__browser_version": ua.version(browser, text),
             "__os_version": ua.version(system, text),

@@ -6,6 +6,11 @@ found by an equality on the network number; a /24 piece also needs a bounds
 check.  So an address meets at most one row per whole level and at most the 256
 pieces a /24 can be cut into, however the blocks lie: no hot network turns into a
 list of candidates to scan, and a wide block does not turn into many rows.
+
+IPv6 blocks are prefixes.  A prefix becomes the networks of the next of a few
+levels that it covers (so at most 2^15 of them); one longer than the last level is
+found by its high half and the bounds of its low half.  An address that stands
+for an IPv4 address is looked up as that.
 """
 
 from __future__ import annotations
@@ -16,10 +21,15 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from mailstream.functions.ipv4 import ipv4_octets, network, octets_to_number
+from mailstream.functions.ipv6 import high_half, ipv6_groups, low_half, mapped_ipv4
 from mailstream.operators.lookup import BROADCAST_BYTES, left_join_static, row_bytes
 
 WHOLE_BITS = (16, 12)
 PIECE_BITS = 8
+LEVELS6 = (16, 32, 48, 64)
+#: Turns the order of unsigned 64-bit numbers into that of BIGINT.
+SIGN = -(1 << 63)
+BLOCKS6 = "net_hi bigint, net_lo bigint, prefix int, country string"
 
 
 @dataclass(frozen=True)
@@ -28,11 +38,15 @@ class GeoBlocks:
 
     `whole` has one table per size in `WHOLE_BITS`, of at most 2^16 and 2^20 rows
     as the blocks are disjoint; `pieces` is measured, and `small` if it fits.
+    `networks6` has (prefix length, table, small) of the IPv6 levels that occur,
+    `pieces6` the longer prefixes; each is measured.
     """
 
     whole: tuple[DataFrame, ...]
     pieces: DataFrame
     small: bool
+    networks6: tuple[tuple[int, DataFrame, bool], ...] = ()
+    pieces6: tuple[DataFrame, bool] | None = None
 
 
 def _whole_range(bits: int) -> tuple[Column, Column]:
@@ -94,11 +108,92 @@ def overlaps(blocks: DataFrame) -> DataFrame:
     )
 
 
+def networks_of_level(blocks6: DataFrame, level: int) -> DataFrame:
+    """`(net, country)` for the prefixes between the level before and this one."""
+    before = max((at for at in LEVELS6 if at < level), default=-1)
+    first = F.shiftrightunsigned("net_hi", 64 - level)
+    size = F.call_function("shiftleft", F.lit(1).cast("bigint"), level - F.col("prefix"))
+    # Networks of level 64 may be negative numbers; they are still consecutive.
+    return blocks6.where(f"prefix > {before} and prefix <= {level}").select(
+        F.explode(F.sequence(first, first + size - 1)).alias("net"), "country"
+    )
+
+
+def long_prefixes(blocks6: DataFrame) -> DataFrame:
+    """`(net, lo, hi, country)` for prefixes beyond the last level; ordered bounds."""
+    network_bits = F.call_function("shiftleft", F.lit(-1).cast("bigint"), 128 - F.col("prefix"))
+    last = F.col("net_lo").bitwiseOR(F.bitwise_not(network_bits))
+    return blocks6.where(f"prefix > {LEVELS6[-1]}").select(
+        F.col("net_hi").alias("net"),
+        F.col("net_lo").bitwiseXOR(F.lit(SIGN)).alias("lo"),
+        last.bitwiseXOR(F.lit(SIGN)).alias("hi"),
+        "country",
+    )
+
+
+def overlaps6(networks: dict[int, DataFrame], pieces: DataFrame) -> DataFrame:
+    """A row for each IPv6 network or long prefix that lies in another one."""
+    found = [
+        table.groupBy("net").count().where("count > 1").select("net")
+        for table in networks.values()
+    ]
+    in_order = Window.partitionBy("net").orderBy("lo", "hi")
+    earlier = F.max("hi").over(in_order.rowsBetween(Window.unboundedPreceding, -1))
+    found.append(pieces.withColumn("earlier", earlier).where("earlier >= lo").select("net"))
+    deeper = [*networks.items(), (64, pieces)]
+    for at, (level, table) in enumerate(deeper):
+        for upper, wider in deeper[:at]:
+            inside = F.shiftrightunsigned("net", level - upper) if level > upper else F.col("net")
+            shallow = wider.select(F.col("net").alias("wide"))
+            found.append(
+                table.select("net").join(shallow, inside == F.col("wide"), "left_semi")
+            )
+    everything = found[0]
+    for part in found[1:]:
+        everything = everything.unionByName(part)
+    return everything
+
+
+def _cut_blocks6(
+    blocks6: DataFrame, broadcast_bytes: int, cache: bool
+) -> tuple[tuple[tuple[int, DataFrame, bool], ...], tuple[DataFrame, bool] | None]:
+    networks = {level: networks_of_level(blocks6, level) for level in LEVELS6}
+    pieces = long_prefixes(blocks6)
+    if cache:
+        networks = {level: table.persist() for level, table in networks.items()}
+        pieces = pieces.persist()
+    if not overlaps6(networks, pieces).isEmpty():
+        raise ValueError("address blocks overlap")
+    tables = [*networks.items(), (None, pieces)]
+    sizes = [
+        table.agg(F.sum(row_bytes(table)).alias("bytes")).withColumn("at", F.lit(at))
+        for at, (_, table) in enumerate(tables)
+    ]
+    measured = sizes[0]
+    for size in sizes[1:]:
+        measured = measured.unionByName(size)
+    found = {row["at"]: row["bytes"] for row in measured.collect()}
+    kept = [
+        (level, table, found[at] <= broadcast_bytes)
+        for at, (level, table) in enumerate(tables)
+        if found[at]
+    ]
+    levels = tuple(x for x in kept if x[0] is not None)
+    long = next(((table, small) for level, table, small in kept if level is None), None)
+    return levels, long
+
+
 def geo_blocks(
-    blocks: DataFrame, broadcast_bytes: int = BROADCAST_BYTES, cache: bool = False
+    blocks: DataFrame,
+    broadcast_bytes: int = BROADCAST_BYTES,
+    cache: bool = False,
+    blocks6: DataFrame | None = None,
 ) -> GeoBlocks:
     """Check, cut and measure `blocks(lo BIGINT, hi BIGINT, country STRING)`.
 
+    `blocks6(net_hi BIGINT, net_lo BIGINT, prefix INT, country STRING)` adds IPv6
+    prefixes: the halves of the network address and how many bits count.
+
     Overlapping blocks are an error: they would multiply rows, and the bound on
     the broadcast levels rests on there being none.  Without `cache` each
     micro-batch reads and cuts the blocks again; a cached table is frozen until
@@ -119,13 +214,24 @@ def geo_blocks(
     found = found.first()
     if found["overlaps"]:
         raise ValueError("address blocks overlap")
-    return GeoBlocks(tuple(whole), pieces, (found["bytes"] or 0) <= broadcast_bytes)
+    small = (found["bytes"] or 0) <= broadcast_bytes
+    if blocks6 is None:
+        return GeoBlocks(tuple(whole), pieces, small)
+    return GeoBlocks(
+        tuple(whole), pieces, small, *_cut_blocks6(blocks6, broadcast_bytes, cache)
+    )
 
 
 def ip_to_country(rows: DataFrame, blocks: GeoBlocks, ip: str = "request_ip") -> DataFrame:
     """Add `country`; NULL for an address outside all blocks or a malformed one."""
-    found = rows.withColumn("__octets", ipv4_octets(ip)).withColumn(
-        "__address", octets_to_number("__octets")
+    cut = rows.withColumns({"__octets": ipv4_octets(ip), "__groups": ipv6_groups(ip)})
+    groups = F.col("__groups")
+    found = cut.withColumns(
+        {
+            "__address": F.coalesce(octets_to_number("__octets"), mapped_ipv4(groups)),
+            "__high": high_half(groups),
+            "__low": low_half(groups).bitwiseXOR(F.lit(SIGN)),
+        }
     )
     countries = []
     for bits, table in zip(WHOLE_BITS, blocks.whole):
@@ -142,4 +248,18 @@ def ip_to_country(rows: DataFrame, blocks: GeoBlocks, ip: str = "request_ip") ->
     ).between(F.col("__piece_lo"), F.col("__piece_hi"))
     found = left_join_static(found, pieces, in_piece, blocks.small)
     countries.append(F.col("__piece_country"))
+    for level, table, small in blocks.networks6:
+        net, country = f"__net6_{level}", f"__country6_{level}"
+        names = table.select(F.col("net").alias(net), F.col("country").alias(country))
+        same_net = F.shiftrightunsigned("__high", 64 - level) == F.col(net)
+        found = left_join_static(found, names, same_net, small)
+        countries.append(F.col(country))
+    if blocks.pieces6:
+        table, small = blocks.pieces6
+        names = table.select(*(F.col(n).alias(f"__piece6_{n}") for n in table.columns))
+        in_piece = (F.col("__high") == F.col("__piece6_net")) & F.col("__low").between(
+            F.col("__piece6_lo"), F.col("__piece6_hi")
+        )
+        found = left_join_static(found, names, in_piece, small)
+        countries.append(F.col("__piece6_country"))
     return found.select(*rows.columns, F.coalesce(*countries).alias("country"))

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 
-from mailstream.functions.agents import FIELDS
+from mailstream.functions.agents import BROWSERS, FIELDS, SYSTEMS, Rule
 from mailstream.operators.agents import parse_user_agent, struct_expand
 from mailstream.operators.decode import decode_actions
 from mailstream.operators.lookup import Lookup, join_isp, with_salt
@@ -19,14 +21,25 @@ def agent_rows(lines: DataFrame) -> DataFrame:
     return decoded.select("job_id", "date", "isp_id", "http_user_agent")
 
 
-def enrich_agents(rows: DataFrame, isp_domains: Lookup) -> DataFrame:
+def enrich_agents(
+    rows: DataFrame,
+    isp_domains: Lookup,
+    browsers: Sequence[Rule] = BROWSERS,
+    systems: Sequence[Rule] = SYSTEMS,
+) -> DataFrame:
     """Provider names and parsed user agents; a total is kept."""
     others = [name for name in rows.columns if name == TOTAL]
-    parsed = join_isp(struct_expand(parse_user_agent(rows)), isp_domains)
+    agents = parse_user_agent(rows, browsers=browsers, systems=systems)
+    parsed = join_isp(struct_expand(agents), isp_domains)
     return parsed.select(*USER_AGENT_KEYS, *others)
 
 
-def user_agent_rollup(lines: DataFrame, isp_domains: Lookup) -> DataFrame:
+def user_agent_rollup(
+    lines: DataFrame,
+    isp_domains: Lookup,
+    browsers: Sequence[Rule] = BROWSERS,
+    systems: Sequence[Rule] = SYSTEMS,
+) -> DataFrame:
     """Decode, parse and count; the same for batch and streaming input.
 
     A batch counts equal raw rows first and parses one text per group.  A stream
@@ -36,5 +49,5 @@ def user_agent_rollup(lines: DataFrame, isp_domains: Lookup) -> DataFrame:
     if rows.isStreaming:
         if not isp_domains.small:
             rows = with_salt(rows)
-        return rollup_all_columns(enrich_agents(rows, isp_domains))
-    return sum_counts(enrich_agents(rollup_all_columns(rows), isp_domains))
+        return rollup_all_columns(enrich_agents(rows, isp_domains, browsers, systems))
+    return sum_counts(enrich_agents(rollup_all_columns(rows), isp_domains, browsers, systems))

@@ -7,6 +7,7 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
+from mailstream.functions.agents import BROWSERS, SYSTEMS, Rule
 from mailstream.operators.decode import decode_bounces, decode_deliveries
 from mailstream.operators.geo import GeoBlocks
 from mailstream.operators.lookup import Lookup
@@ -52,9 +53,9 @@ def start_logs(
     bounced, delivered = decode_bounces(bounces), decode_deliveries(deliveries)
     counts = rollup_all_columns(union_rows(bounced, delivered))
     return [
-        start_csv_archive(bounced, f"{archive}/bn", f"{checkpoint}/bn", trigger),
-        start_csv_archive(delivered, f"{archive}/dl", f"{checkpoint}/dl", trigger),
-        start_upsert(counts, write, f"{checkpoint}/aggr", trigger),
+        start_csv_archive(bounced, f"{archive}/bounced", f"{checkpoint}/bounced", trigger),
+        start_csv_archive(delivered, f"{archive}/delivered", f"{checkpoint}/delivered", trigger),
+        start_upsert(counts, write, f"{checkpoint}/counts", trigger),
     ]
 
 
@@ -62,14 +63,21 @@ def start_user_agents(
     lines: DataFrame,
     isp_domains: Lookup,
     checkpoint: str,
-    write: BatchWriter | None = None,
+    write: BatchWriter,
     trigger: Trigger = Trigger(),
+    preview_rows: int = 0,
+    browsers: Sequence[Rule] = BROWSERS,
+    systems: Sequence[Rule] = SYSTEMS,
 ) -> list[StreamingQuery]:
-    """Running counts per device; shown on the console unless `write` is given."""
-    counts = user_agent_rollup(lines, isp_domains)
-    if write is None:
-        return [start_console(counts, f"{checkpoint}/user_agents", trigger)]
-    return [start_upsert(counts, write, f"{checkpoint}/user_agents", trigger)]
+    """Running counts per device, with a preview on the console if rows are asked for.
+
+    The preview is a query of its own: no result exists only on the console.
+    """
+    counts = user_agent_rollup(lines, isp_domains, browsers, systems)
+    queries = [start_upsert(counts, write, f"{checkpoint}/user_agents", trigger)]
+    if preview_rows:
+        queries.append(start_console(counts, f"{checkpoint}/preview", preview_rows, trigger))
+    return queries
 
 
 def await_queries(queries: Sequence[StreamingQuery], poll_seconds: int = 5) -> None:

@@ -5,66 +5,32 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from mailstream.catalog.fixtures import USER_AGENTS
-from mailstream.catalog.oracle import EXPECTED_AGENTS, EXPECTED_NULL_AGENT
-from mailstream.functions.agents import BROWSERS, FIELDS, SYSTEMS, Rule, touch_flag, unescape_commas
+from mailstream.catalog.agent_cases import AGENT_CASES, MISSING_AGENT
+from mailstream.functions.agents import (
+    BROWSERS,
+    FIELDS,
+    SYSTEMS,
+    Rule,
+    rules_from_json,
+    touch_flag,
+    unescape_commas,
+)
 from mailstream.operators.agents import parse_user_agent, struct_expand
 
-KHTML = "AppleWebKit/537.36 (KHTML||| like Gecko)"
-
-# text: browser, browser version, os, os version, device, brand, model, type, touch
-CASES = {
-    f"Mozilla/5.0 (Windows NT 6.1; WOW64) {KHTML} Chrome/91.0.4472.124 Safari/537.36 Edg/91.0.864.59": (
-        "Edge", "91.0.864", "Windows", "7", "Other", None, None, "pc", 0),
-    f"Mozilla/5.0 (Windows NT 10.0) {KHTML} Chrome/64.0.3282.140 Safari/537.36 Edge/18.17763": (
-        "Edge", "18.17763", "Windows", "10", "Other", None, None, "pc", 0),
-    f"Mozilla/5.0 (Windows NT 6.3; Win64; x64) {KHTML} Chrome/100.0.4896.60 Safari/537.36 OPR/86.0.4363.23": (
-        "Opera", "86.0.4363", "Windows", "8.1", "Other", None, None, "pc", 0),
-    "Mozilla/5.0 (Windows NT 6.2; Win64; x64; Touch; Trident/7.0; rv:11.0) like Gecko": (
-        "IE", "11.0", "Windows", "8", "Other", None, None, "pc", 1),
-    "Mozilla/5.0 (compatible; MSIE 9.0; Windows NT 6.0; Trident/5.0)": (
-        "IE", "9.0", "Windows", "Vista", "Other", None, None, "pc", 0),
-    f"Mozilla/5.0 (Linux; Android 10; SAMSUNG SM-T510) {KHTML} SamsungBrowser/14.2 Chrome/87.0.4280.141 Safari/537.36": (
-        "Samsung Internet", "14.2", "Android", "10", "Samsung SM-T510", "Samsung", "SM-T510", "tablet", 1),
-    f"Mozilla/5.0 (Linux; Android 12; Pixel 6 Build/SD1A.210817.023; wv) {KHTML} Version/4.0 Chrome/94.0.4606.71 Mobile Safari/537.36": (
-        "Chrome Mobile WebView", "94.0.4606", "Android", "12", "Pixel 6", "Google", "Pixel 6", "mobile", 1),
-    f"Mozilla/5.0 (Linux; Android 10; K) {KHTML} Chrome/124.0.0.0 Mobile Safari/537.36": (
-        "Chrome Mobile", "124.0.0", "Android", "10", "K", "Generic_Android", "K", "mobile", 1),
-    f"Mozilla/5.0 (Linux; Android 9; Redmi Note 8) {KHTML} Chrome/89.0.4389.72 Mobile Safari/537.36": (
-        "Chrome Mobile", "89.0.4389", "Android", "9", "XiaoMi Redmi Note 8", "XiaoMi", "Redmi Note 8", "mobile", 1),
-    "Mozilla/5.0 (Android 13; Mobile; rv:109.0) Gecko/114.0 Firefox/114.0": (
-        "Firefox Mobile", "114.0", "Android", "13", "Generic Smartphone", "Generic", "Smartphone", "mobile", 1),
-    "Mozilla/5.0 (iPhone; CPU iPhone OS 15_6_1 like Mac OS X) AppleWebKit/605.1.15 (KHTML||| like Gecko) CriOS/112.0.5615.46 Mobile/15E148 Safari/604.1": (
-        "Chrome Mobile iOS", "112.0.5615", "iOS", "15.6.1", "iPhone", "Apple", "iPhone", "mobile", 1),
-    "Mozilla/5.0 (iPhone; CPU iPhone OS 16_3 like Mac OS X) AppleWebKit/605.1.15 (KHTML||| like Gecko) Mobile/15E148": (
-        "Mobile Safari UI/WKWebView", "16.3", "iOS", "16.3", "iPhone", "Apple", "iPhone", "mobile", 1),
-    "Mozilla/5.0 (X11; Ubuntu; Linux x86_64; rv:102.0) Gecko/20100101 Firefox/102.0": (
-        "Firefox", "102.0", "Ubuntu", "", "Other", None, None, "pc", 0),
-    f"Mozilla/5.0 (X11; CrOS x86_64 14541.0.0) {KHTML} Chrome/114.0.0.0 Safari/537.36": (
-        "Chrome", "114.0.0", "Chrome OS", "14541.0.0", "Other", None, None, "pc", 0),
-    "Mozilla/5.0 (compatible; Googlebot/2.1; +http://www.google.com/bot.html)": (
-        "Googlebot", "2.1", "Other", "", "Spider", "Spider", "Desktop", "other", 0),
-    "Mozilla/5.0 (Windows NT 5.1; rv:11.0) Gecko Firefox/11.0 (via ggpht.com GoogleImageProxy)": (
-        "GmailImageProxy", "", "Windows", "XP", "Other", None, None, "pc", 0),
-    "Mozilla/4.0 (compatible; MSIE 7.0; Windows NT 6.1; Trident/7.0; Microsoft Outlook 14.0.7166; MSOffice 14)": (
-        "Outlook", "2010", "Windows", "7", "Other", None, None, "pc", 0),
-    "python-requests/2.31.0": (
-        "Python Requests", "2.31.0", "Other", "", "Other", None, None, "other", 0),
-}
-FIXTURE_CASES = dict(zip((*USER_AGENTS, None), (*EXPECTED_AGENTS, EXPECTED_NULL_AGENT)))
+CASES = dict((*AGENT_CASES, (None, MISSING_AGENT)))
 
 
 @pytest.fixture(scope="module")
 def parsed(spark):
-    texts = [*CASES, *FIXTURE_CASES]
+    texts = [*CASES]
     rows = spark.createDataFrame([(t,) for t in texts], "http_user_agent string")
     found = struct_expand(parse_user_agent(rows)).collect()
     return {r["http_user_agent"]: tuple(r[name] for name in FIELDS) for r in found}
 
 
-@pytest.mark.parametrize("text", [*CASES, *FIXTURE_CASES])
+@pytest.mark.parametrize("text", [*CASES])
 def test_known_texts(parsed, text):
-    assert parsed[text] == {**CASES, **FIXTURE_CASES}[text]
+    assert parsed[text] == CASES[text]
 
 
 def test_touch_flag(spark):
@@ -94,3 +60,31 @@ def test_generated_code_is_small_enough_to_be_compiled(spark):
     code = debug.__getattr__("MODULE$").codegenString(frame._jdf.queryExecution().executedPlan())
     sizes = [int(size) for size in re.findall(r"maxMethodCodeSize:(\d+)", code)]
     assert sizes and max(sizes) < 8000
+
+
+def test_every_rule_word_is_met_once():
+    texts = [text or "" for text in CASES]
+    for rule in (*BROWSERS, *SYSTEMS):
+        assert any(rule.word in text for text in texts), rule.word
+
+
+def test_no_text_is_without_a_family(spark):
+    words = sorted({w for r in (*BROWSERS, *SYSTEMS) for w in (r.word, r.variant) if w})
+    texts = [" ".join(w for k, w in enumerate(words) if (n * 7919 + k * k) % 5 == 0) for n in range(60)]
+    texts += [*words, "", " ", "\n", ";;;"]
+    rows = spark.createDataFrame([(t,) for t in texts], "http_user_agent string")
+    parsed = struct_expand(parse_user_agent(rows))
+    assert parsed.where("browser_family is null or os_family is null or device_family is null").count() == 0
+
+
+def test_rules_from_a_file(spark, tmp_path):
+    path = tmp_path / "rules.json"
+    path.write_text(
+        '{"browsers": [{"word": "MailReader", "family": "Mail Reader", "anchor": "MailReader/",'
+        ' "device": {"family": "Kiosk", "brand": "Acme", "model": "K1"}}]}'
+    )
+    browsers, systems = rules_from_json(str(path))
+    rows = spark.createDataFrame([("MailReader/3.2 (X11; Linux)",)], "http_user_agent string")
+    row = parse_user_agent(rows, browsers=browsers, systems=systems).first()["user_agent"]
+    assert (row.browser_family, row.browser_version, row.device_family) == ("Mail Reader", "3.2", "Kiosk")
+    assert systems == SYSTEMS

@@ -1,5 +1,6 @@
 """Range join of addresses against a brute force over all blocks."""
 
+import ipaddress
 import random
 
 import pytest
@@ -8,7 +9,7 @@ from pyspark.sql import functions as F
 from mailstream.functions.ipv4 import ipv4_octets, octets_to_number
 from mailstream.operators.geo import geo_blocks, ip_to_country
 from mailstream.operators.lookup import with_salt
-from mailstream.sources.geo import read_geo_blocks
+from mailstream.sources.geo import cidr_blocks6, read_geo_blocks, read_geo_blocks6
 
 TOP = 2**32
 
@@ -114,8 +115,60 @@ def test_blocks_from_csv(spark, tmp_path):
         "1.1.1.1/32,3,x\n2001:db8::/32,1,x\n9.0.0.0/8,,x\n"
     )
     (tmp_path / "places.csv").write_text("geoname_id,country_iso_code\n1,AA\n2,BB\n3,\n")
-    blocks = read_geo_blocks(spark, str(tmp_path / "nets.csv"), str(tmp_path / "places.csv"))
+    paths = str(tmp_path / "nets.csv"), str(tmp_path / "places.csv")
+    six = read_geo_blocks6(spark, *paths).collect()
+    assert [tuple(r) for r in six] == [(0x20010DB8 << 32, 0, 32, "AA")]
+    blocks = read_geo_blocks(spark, *paths)
     assert sorted(tuple(r) for r in blocks.select("lo", "hi", "country").collect()) == [
         (10 << 24, (11 << 24) - 1, "AA"),
         ((192 << 24) + (168 << 16) + (1 << 8) + 128, (192 << 24) + (168 << 16) + (1 << 8) + 255, "BB"),
     ]
+
+
+NETS6 = [
+    "2001:db8::/32", "2a00:1450::/29", "fe80::/10", "2600::/48", "2600:0:1::/49", "2600:0:1:8000::/50",
+    "2600:0:2::/64", "2600:0:3::/65", "2600:0:3:0:8000::/66", "2600:0:4::1/128", "8000::/17", "2600:0:5::/63",
+]
+
+
+def probes6():
+    rng = random.Random(3)
+    found = [ipaddress.IPv6Address(0), ipaddress.IPv6Address(2**128 - 1)]
+    for net in map(ipaddress.ip_network, NETS6):
+        ends = int(net[0]), int(net[-1])
+        near = [e + d for e in ends for d in (-1, 0, 1)] + [rng.randint(*ends)]
+        found += [ipaddress.IPv6Address(n) for n in near if 0 <= n < 2**128]
+    return found
+
+
+@pytest.mark.parametrize("form", ["broadcast", "shuffled", "salted"])
+def test_ipv6_same_as_brute_force(spark, form):
+    nets = spark.createDataFrame([(n,) for n in [*NETS6, "10.0.0.0/8", "x"]], "country string")
+    six = cidr_blocks6(nets, "country").select("net_hi", "net_lo", "prefix", "country")
+    assert six.count() == len(NETS6)
+    four = spark.createDataFrame([(1 << 24, (1 << 24) + 99, "four")], "lo bigint, hi bigint, country string")
+    cut = geo_blocks(four, blocks6=six, **({} if form == "broadcast" else {"broadcast_bytes": 0}))
+    want = {}
+    for address in probes6():
+        inside = [n for n in NETS6 if address in ipaddress.ip_network(n)]
+        for text_ in {str(address), address.exploded, str(address).upper()}:
+            want[text_] = inside[0] if inside else None
+    want |= {"::ffff:1.0.0.7": "four", "::FFFF:100:63": "four", "::ffff:1.0.0.100": None, "1.0.0.9": "four"}
+    want |= {"2001:db8::1::": None, "2001:db8": None, ":::": None, "2600::12345": None, "fe80::1%eth0": None}
+    rows = spark.createDataFrame([(t,) for t in want], "request_ip string")
+    if form == "salted":
+        rows = with_salt(rows)
+    found = ip_to_country(rows, cut)
+    assert {r["request_ip"]: r["country"] for r in found.collect()} == want
+    assert found.count() == len(want)
+    assert "NestedLoop" not in found._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize(
+    "pair", [("2001:db8::/32", "2001:db8:1::/48"), ("2001::/20", "2001::/20"), ("2600::/64", "2600::/70"), ("2600::/65", "2600::/66")]
+)
+def test_overlapping_ipv6_blocks_are_refused(spark, pair):
+    nets = spark.createDataFrame([(n,) for n in pair], "country string")
+    four = spark.createDataFrame([], "lo bigint, hi bigint, country string")
+    with pytest.raises(ValueError, match="overlap"):
+        geo_blocks(four, blocks6=cidr_blocks6(nets, "country"))

@@ -39,6 +39,9 @@ def wired(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(
         cli, "read_geo_blocks", lambda session, *paths: fx.nation_blocks(spark, SMALL)
     )
+    monkeypatch.setattr(
+        cli, "read_geo_blocks6", lambda session, *paths: fx.nation_blocks6(spark, SMALL)
+    )
     return tmp_path
 
 

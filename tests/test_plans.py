@@ -61,6 +61,6 @@ def test_a_day_larger_than_a_file_is_split(spark, tmp_path):
         for name in settings:
             spark.conf.unset(name)
         spark.conf.set("spark.sql.shuffle.partitions", "4")
-    files = {p.name: len(list(p.glob("*.csv"))) for p in (tmp_path / "csv").glob("date=*")}
+    files = {p.name: len(list(p.glob("*.csv"))) for p in (tmp_path / "csv_backfill").glob("run=*/date=*")}
     assert files.pop("date=2024-02-01") > 1
     assert max(files.values()) <= 2

@@ -1,6 +1,7 @@
 """Streams against batches, restarts, replays, and the sinks."""
 
 import datetime
+import tempfile
 from types import SimpleNamespace
 
 import pytest
@@ -33,6 +34,7 @@ from mailstream.streaming.jobs import (
 from mailstream.streaming.sinks import (
     Trigger,
     read_csv_archive,
+    start_csv_archive,
     snapshot_writer,
     start_upsert,
     write_csv_archive,
@@ -128,13 +130,17 @@ def test_actions_stream_equals_batch(spark, tmp_path, limit):
     )
 
 
-def test_user_agents_to_console(spark, tmp_path):
+def test_a_preview_runs_beside_the_result(spark, tmp_path):
     lines = stage(spark, "click", str(tmp_path / "click"), 2)
     isp = bq.isp_domains(spark, SMALL)
     stream = file_source(spark, str(tmp_path / "click"), 1)
-    (query,) = start_user_agents(stream, isp, str(tmp_path / "cp"), trigger=NOW)
-    await_queries([query])
-    progress = query.recentProgress
+    table = SnapshotTable(str(tmp_path / "out"), USER_AGENT_REPORT)
+    queries = start_user_agents(
+        stream, isp, str(tmp_path / "cp"), snapshot_writer(table), NOW, preview_rows=3
+    )
+    await_queries(queries)
+    assert_same(read_snapshot(spark, table), ORACLE_SQL["user_agent_rollup"], SMALL)
+    progress = queries[1].recentProgress
     assert len(progress) >= 2 and sum(p["numInputRows"] for p in progress) == lines
     assert "Console" in progress[-1]["sink"]["description"]
 
@@ -177,7 +183,7 @@ def test_logs_job_archives_rows_by_date(spark, tmp_path):
     assert_same(read_snapshot(spark, table), ORACLE_SQL["logs_rollup"], SMALL)
     parts = [
         read_csv_archive(spark, str(tmp_path / "archive" / name), LOG_ARCHIVE)
-        for name in ("bn", "dl")
+        for name in ("bounced", "delivered")
     ]
     assert_same(parts[0].unionByName(parts[1]), ORACLE_SQL["union_logs"], SMALL)
     folders = {p.name for p in (tmp_path / "archive").glob("*/date=*")}
@@ -194,6 +200,30 @@ def test_csv_keeps_null_and_empty_apart(spark, tmp_path):
     same(read_csv_archive(spark, str(tmp_path / "csv"), LOG_ARCHIVE), frame)
 
 
+def test_csv_gives_back_what_went_in(spark, tmp_path):
+    values = [" lead", "trail ", "two\nlines", "a\rb", "back\\slash", "\\n", "\u0001", "\\x01", ",", '"', "\\", '\\"', ""]
+    day = datetime.date(2024, 1, 2)
+    rows = [("s", day, v, v, v, v, None, "bounce", v) for v in values]
+    frame = spark.createDataFrame(rows, LOG_ARCHIVE)
+    path = str(tmp_path / "csv")
+    for _ in range(2):
+        write_csv_archive(frame, path, run="a")
+    same(read_csv_archive(spark, path, LOG_ARCHIVE), frame)
+    write_csv_archive(frame.limit(1), path, run="b")
+    assert read_csv_archive(spark, path, LOG_ARCHIVE).count() == len(rows) + 1
+
+
+def test_a_backfill_is_seen_beside_a_stream(spark, tmp_path):
+    stage(spark, "bounce", str(tmp_path / "in"), 2)
+    rows = decode_bounces(file_source(spark, str(tmp_path / "in"), 1))
+    path = str(tmp_path / "archive" / "bounced")
+    await_queries([start_csv_archive(rows, path, str(tmp_path / "cp"), NOW)])
+    before = read_csv_archive(spark, path, LOG_ARCHIVE)
+    n = before.count()
+    write_csv_archive(before.limit(5), path, run="late")
+    assert read_csv_archive(spark, path, LOG_ARCHIVE).count() == n + 5
+
+
 def test_a_failed_query_stops_the_others(spark, tmp_path):
     stage(spark, "bounce", str(tmp_path / "in"), 1)
     rows = decode_bounces(file_source(spark, str(tmp_path / "in")))
@@ -322,6 +352,6 @@ class FakeSession:
 def test_shared_folder_follows_the_session_setting():
     cluster = FakeSession("spark://host:7077", **{"spark.checkpoint.dir": "s3a://b/c/"})
     assert shared_folder(cluster, "x").startswith("s3a://b/c/x-")
-    assert shared_folder(FakeSession("local[2]"), "x").startswith("/tmp/")
+    assert shared_folder(FakeSession("local[2]"), "x").startswith(tempfile.gettempdir())
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         shared_folder(FakeSession("spark://host:7077"), "x")
