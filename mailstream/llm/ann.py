@@ -33,7 +33,7 @@ from mailstream.llm.common import written
 
 TREES = 4
 SAMPLE_ROWS = 8192
-LEAF_ROWS = 512
+LEAF_ROWS = 4096
 LEAST_LEAVES, MOST_LEAVES = 16, 1024
 CHUNK_ROWS = 4096
 SEARCH_SHARE = 1.5
