@@ -8,9 +8,9 @@ and is one edge; where an anchor has several stretches, each of their windows is
 with the sum of the counts, and edges that occur once go.
 
 Repeated edges are compacted: where a node has one edge in and one edge out, the two belong
-to one path, and pointer jumping (joins of edges with edges, the distance doubling each
-round) gives every edge its path and its place on it.  An edge's source coordinates are one
-place in the corpus where it occurs.  In the last pass every occurrence of an edge is
+to one path.  An edge's source coordinates are one place in the corpus where it occurs; edges
+that follow each other there become runs, and pointer jumping (joins of runs with runs, the
+distance doubling each round) gives every edge its path and its place on it.  In the last pass every occurrence of an edge is
 compared, by a second hash of its words, with that source, adjacent occurrences that follow
 each other on a path are one span, and spans are cut out.
 
@@ -29,8 +29,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from mailstream.llm.common import slices, written
+from mailstream.llm.common import forget, slices, written
 from mailstream.llm.repeats import covered, keyed, occurrences, with_lists
 from mailstream.llm.stretches import OTHER_BASE, span_hashes, word_hashes, word_spans
 
@@ -38,7 +39,7 @@ WIDTH = 35
 GRAM = 8
 
 EDGES = (
-    "anchor long, content long, place int, windows int, rows long, "
+    "doc long, tag int, at int, anchor long, content long, place int, windows int, rows long, "
     "kmer long, proof long, left long, right long"
 )
 SPANS = "doc_id long, n_words long, n_removed long, kept_sha256 string, n_spans long, kept string"
@@ -53,14 +54,15 @@ def _edges_of(rows: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
             for part in slices(batch):
                 out = []
                 texts, spans = part.column("text"), part.column("spans").to_pylist()
-                for text, some in zip(texts, spans, strict=True):
+                names_of = zip(part.column("doc").to_pylist(), part.column("tag").to_pylist())
+                for name, text, some in zip(names_of, texts, spans, strict=True):
                     words = word_hashes(np.frombuffer(text.as_buffer(), np.uint8))
-                    out.append(edges(words, some))
+                    out.append(edges(name, words, some))
                 if out:
                     columns = [np.concatenate(c) for c in zip(*out, strict=True)]
                     yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names)
 
-    def edges(words: np.ndarray, some: list[dict]) -> list[np.ndarray]:
+    def edges(name: tuple, words: np.ndarray, some: list[dict]) -> list[np.ndarray]:
         span = {k: np.array([s[k] for s in some]) for k in some[0]}
         # One edge for a stretch that is alone with its anchor, one a window for others.
         each = np.where(span["alone"], 1, span["windows"])
@@ -70,6 +72,9 @@ def _edges_of(rows: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
         start = span["start"][owner] + place
         end = start + long + width - 1
         return [
+            np.full(len(owner), name[0], np.int64),
+            np.full(len(owner), name[1], np.int32),
+            start.astype(np.int32),
             span["anchor"][owner],
             span["content"][owner],
             place.astype(np.int32),
@@ -82,77 +87,104 @@ def _edges_of(rows: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
         ]
 
     fields = "start", "windows", "anchor", "content", "rows", "alone"
-    lists = wanted.groupBy("key").agg(F.collect_list(F.struct(*fields)).alias("spans"))
-    # Rows with equal keys have equal texts; an edge read twice is dropped again.
-    texts = rows.select("key", "text").join(lists, "key")
-    edges_read = texts.select("text", "spans").mapInArrow(run, EDGES)
+    lists = wanted.groupBy("doc", "tag").agg(F.collect_list(F.struct(*fields)).alias("spans"))
+    texts = rows.select("doc", "tag", "text").join(lists, ["doc", "tag"])
+    edges_read = texts.select("doc", "tag", "text", "spans").mapInArrow(run, EDGES)
+    # Rows with equal names have equal texts; an edge read twice is dropped again.
     return edges_read.dropDuplicates(["anchor", "content", "place"])
 
 
 def compact(edges: DataFrame) -> DataFrame:
-    """path and position of each edge (kmer, left, right, windows); position in windows.
+    """path and position (in windows) of each edge of the graph.
 
-    A path's name is its first edge.  Edges of closed rings stay paths of their own.
+    `edges` has kmer, windows, left, right and source coordinates doc, tag, at.  Edges that
+    follow each other at their source join runs there, without moving; runs join paths by
+    pointer jumping, the distance doubling each round.  A path's name is its first edge.
+    Closed rings of runs stay runs.
     """
     arriving = edges.groupBy(F.col("right").alias("node")).agg(
         F.count("*").alias("arriving"), F.min("kmer").alias("before")
     )
     leaving = edges.groupBy(F.col("left").alias("node")).agg(F.count("*").alias("leaving"))
     through = arriving.join(leaving, "node").where("arriving = 1 and leaving = 1")
-    follows = edges.join(
-        through.select(F.col("node").alias("left"), "before"), "left", "left"
-    ).where("before is null or before != kmer")
-    follows = follows.unionByName(
-        edges.join(through.select(F.col("node").alias("left"), "before"), "left").where(
-            "before = kmer"
-        ).withColumn("before", F.lit(None).cast("long"))
+    through = through.select(F.col("node").alias("left"), "before")
+    follows = edges.drop("right").join(through, "left", "left").withColumn(
+        "before", F.expr("if(before = kmer, null, before)")
     )
-    lengths = edges.select(F.col("kmer").alias("before"), F.col("windows").alias("jump"))
-    state = written(
-        follows.join(lengths, "before", "left").select(
+    source = Window.partitionBy("doc", "tag").orderBy("at", "kmer")
+    goes_on = (F.lag("kmer").over(source) == F.col("before")) & (
+        F.lag(F.col("at") + F.col("windows")).over(source) == F.col("at")
+    )
+    new = F.when(F.coalesce(goes_on, F.lit(False)), 0).otherwise(1)
+    numbered = follows.withColumn("new", new).withColumn("number", F.sum("new").over(source))
+    run = Window.partitionBy("doc", "tag", "number")
+    runs = written(
+        numbered.select(
             "kmer",
-            F.coalesce("before", "kmer").alias("path"),
-            F.coalesce(F.col("jump").cast("long"), F.lit(0)).alias("position"),
+            "windows",
+            "before",
+            "new",
+            F.min_by("kmer", "at").over(run).alias("run"),
+            (F.col("at") - F.min("at").over(run)).cast("long").alias("inside"),
+        ),
+        "bruijn-runs",
+    )
+    ends = runs.select(
+        F.col("kmer").alias("before"),
+        F.col("run").alias("path"),
+        (F.col("inside") + F.col("windows")).alias("position"),
+    )
+    # A run's first edge says which run it follows and where on it.
+    heads = runs.where("new = 1").select("run", "before")
+    state = written(
+        heads.join(ends, "before", "left").select(
+            "run",
+            F.coalesce("path", "run").alias("path"),
+            F.coalesce("position", F.lit(0).cast("long")).alias("position"),
         ),
         "bruijn-paths",
     )
     open_before = None
     while True:
-        heads = state.where("path = kmer and position = 0").select(F.col("kmer").alias("path"))
-        unfinished = state.join(heads, "path", "left_anti")
+        first = state.where("path = run and position = 0").select(F.col("run").alias("path"))
+        unfinished = state.join(first, "path", "left_anti")
         open_now = unfinished.count()
-        # Rings never come to a head: their number stays while everything else settles.
+        # Rings never come to a first run: their number stays while all else settles.
         if open_now == 0 or open_now == open_before:
             break
         open_before = open_now
         ahead = state.select(
-            F.col("kmer").alias("path"),
+            F.col("run").alias("path"),
             F.col("path").alias("farther"),
             F.col("position").alias("more"),
         )
         moved = unfinished.join(ahead, "path").select(
-            "kmer",
+            "run",
             F.col("farther").alias("path"),
             (F.col("position") + F.col("more")).alias("position"),
         )
-        settled = state.join(heads, "path", "left_semi").select("kmer", "path", "position")
+        settled = state.join(first, "path", "left_semi").select("run", "path", "position")
+        replaced = state
         state = written(settled.unionByName(moved), "bruijn-paths")
+        forget(replaced)
     if open_now:
         ring = unfinished.select(
-            "kmer", F.col("kmer").alias("path"), F.lit(0).cast("long").alias("position")
+            "run", F.col("run").alias("path"), F.lit(0).cast("long").alias("position")
         )
-        settled = state.join(heads, "path", "left_semi").select("kmer", "path", "position")
+        settled = state.join(first, "path", "left_semi").select("run", "path", "position")
         state = settled.unionByName(ring)
-    return state
+    return runs.join(state, "run").select(
+        "kmer", "path", (F.col("position") + F.col("inside")).alias("position")
+    )
 
 
 def repeated_words(rows: DataFrame, width: int = WIDTH, gram: int = GRAM) -> DataFrame:
-    """key, start, windows, proof, path, position: occurrences of repeated edges."""
-    found = occurrences(rows, word_hashes, width, gram).drop("doc")
+    """doc, tag, start, windows, proof, path, position: occurrences of repeated edges."""
+    found = occurrences(rows, word_hashes, width, gram)
     shared = found.groupBy("anchor").agg(F.count("*").alias("rows")).where("rows > 1")
     kept = written(found.join(shared.select("anchor"), "anchor"), "bruijn-stretches")
     kinds = kept.groupBy("anchor", "content").agg(
-        F.count("*").alias("rows"), F.min(F.struct("key", "start", "windows")).alias("place")
+        F.count("*").alias("rows"), F.min(F.struct("doc", "tag", "start", "windows")).alias("place")
     )
     several = kinds.groupBy("anchor").agg(F.count("*").alias("kinds"))
     kinds = kinds.join(several, "anchor").select(
@@ -165,15 +197,21 @@ def repeated_words(rows: DataFrame, width: int = WIDTH, gram: int = GRAM) -> Dat
         F.min("proof").alias("proof"),
         F.min("left").alias("left"),
         F.min("right").alias("right"),
+        # The first values of a group come from one row, so they are one place.
+        F.first("doc").alias("doc"),
+        F.first("tag").alias("tag"),
+        F.first("at").alias("at"),
     )
     graph = written(graph.where("rows > 1"), "bruijn-graph")
     paths = graph.join(compact(graph), "kmer").select("kmer", "proof", "path", "position")
     placed = edges.select("anchor", "content", "place", "windows", "kmer").join(paths, "kmer")
     placed = written(placed, "bruijn-placed")
-    return kept.select("key", "anchor", "content", "start").join(
+    forget(edges)
+    return kept.select("doc", "tag", "anchor", "content", "start").join(
         placed, ["anchor", "content"]
     ).select(
-        "key",
+        "doc",
+        "tag",
         (F.col("start") + F.col("place")).alias("start"),
         "windows",
         "proof",

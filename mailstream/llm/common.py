@@ -38,7 +38,16 @@ def written(df: DataFrame, purpose: str) -> DataFrame:
             spark.conf.unset(CLEAN_SHUFFLES)
         else:
             spark.conf.set(CLEAN_SHUFFLES, before)
-    return spark.read.schema(df.schema).parquet(path)
+    frame = spark.read.schema(df.schema).parquet(path)
+    frame.scratch_folder = path
+    return frame
+
+
+def forget(df: DataFrame) -> None:
+    """Deletes what `written` wrote for `df`, once nothing reads it any more."""
+    spark = df.sparkSession
+    path = spark._jvm.org.apache.hadoop.fs.Path(df.scratch_folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def text_or_empty(column: str = "text") -> Column:
@@ -87,7 +96,10 @@ def components(links: DataFrame, purpose: str) -> DataFrame:
             .select(F.col("m").alias("a"), F.col("least").alias("b"))
             .unionByName(least.select("a", F.col("least").alias("b")))
         )
+        replaced = edges
         edges = written(small.distinct(), purpose)
+        forget(replaced)
+        forget(large)
         now, before = state(edges), now
     return edges.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(
         edges.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct()

@@ -1,7 +1,7 @@
 """What the two searches for repeated spans share: stretches, kept spans and the last pass.
 
-A document's row key is a hash of doc_id and text.  Equal rows share a key and so a result,
-and still count as two documents.
+A document is named by its doc_id and a tag: 0 where doc_ids are unique, else a hash of the
+text.  Equal rows share both and so a result, and still count as two documents.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from mailstream.llm.common import slices, text_or_empty
 from mailstream.llm.stretches import stretches
 
-OCCURRENCE = "key long, doc long, anchor long, start int, windows int, content long"
+OCCURRENCE = "doc long, tag int, anchor long, start int, windows int, content long"
 #: The order of a row without doc_id: before all others.
 NO_ID = -(1 << 63)
 
@@ -24,11 +24,13 @@ Symbols = Callable[[np.ndarray], np.ndarray]
 
 
 def keyed(docs: DataFrame, *carried: str) -> DataFrame:
-    """key, doc (doc_id as a number to compare), doc_id, text and `carried` of each row."""
+    """doc (doc_id as a number to compare), tag, doc_id, text and `carried` of each row."""
     doc_id = docs["doc_id"].cast("long")
+    repeated = docs.groupBy(doc_id.alias("doc_id")).count().where("count > 1")
+    tag = F.lit(0) if repeated.isEmpty() else F.hash(docs["text"])
     return docs.select(
-        F.xxhash64(doc_id, docs["text"]).alias("key"),
         F.coalesce(doc_id, F.lit(NO_ID)).alias("doc"),
+        tag.alias("tag"),
         doc_id.alias("doc_id"),
         text_or_empty().alias("text"),
         *[docs[name].alias(f"_{name}") for name in carried],
@@ -54,8 +56,8 @@ def occurrences(rows: DataFrame, symbols: Symbols, width: int, gram: int) -> Dat
                     np.concatenate(column) for column in zip(*found, strict=True)
                 )
                 columns = [
-                    np.repeat(part.column("key").to_numpy(), sizes),
                     np.repeat(part.column("doc").to_numpy(), sizes),
+                    np.repeat(part.column("tag").to_numpy(), sizes),
                     anchor.view(np.int64),
                     start.astype(np.int32),
                     windows.astype(np.int32),
@@ -63,13 +65,13 @@ def occurrences(rows: DataFrame, symbols: Symbols, width: int, gram: int) -> Dat
                 ]
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names)
 
-    return rows.select("key", "doc", "text").mapInArrow(run, OCCURRENCE)
+    return rows.select("doc", "tag", "text").mapInArrow(run, OCCURRENCE)
 
 
 def with_lists(rows: DataFrame, spans: DataFrame, *columns: str) -> DataFrame:
     """`rows` with the spans of each in a list (null: none); no longer than the document."""
-    lists = spans.groupBy("key").agg(F.collect_list(F.struct(*columns)).alias("spans"))
-    return rows.join(lists, "key", "left")
+    lists = spans.groupBy("doc", "tag").agg(F.collect_list(F.struct(*columns)).alias("spans"))
+    return rows.join(lists, ["doc", "tag"], "left")
 
 
 def covered(n: int, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:

@@ -143,7 +143,12 @@ def test_paths_of_a_graph(spark):
         (11, 3, 100, 101), (12, 1, 101, 102), (13, 2, 102, 103), (14, 1, 103, 104),
         (15, 1, 103, 105), (16, 1, 200, 201), (17, 1, 201, 200), (18, 1, 300, 300),
     ]
-    table = spark.createDataFrame(edges, "kmer long, windows int, left long, right long")
+    # Edges 11 and 12 lie side by side in document 1, the others are from other documents.
+    places = [(1, 0, 5), (1, 0, 8), *[(k, 0, 0) for k in range(2, 8)]]
+    table = spark.createDataFrame(
+        [(*e, *p) for e, p in zip(edges, places)],
+        "kmer long, windows int, left long, right long, doc long, tag int, at int",
+    )
     found = {r["kmer"]: (r["path"], r["position"]) for r in compact(table).collect()}
     assert found == {
         11: (11, 0), 12: (11, 3), 13: (11, 4), 14: (14, 0), 15: (15, 0),
