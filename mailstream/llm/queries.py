@@ -1,4 +1,4 @@
-"""The operators as named queries over whole tables, and as SQL where SQL can say it."""
+"""The operators as named queries over whole tables."""
 
 from __future__ import annotations
 
@@ -38,7 +38,7 @@ def op3_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_bruijn(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return remove_repeated_words(table(spark, sf_dir, "documents")).drop("kept")
+    return remove_repeated_words(table(spark, sf_dir, "documents")).drop("kept", "n_spans")
 
 
 def op5_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -76,7 +76,7 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
         "conv_id long, turn long, role string, text string",
     )
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
-    return read_chats(format_chats(turns.unionByName(forged)))
+    return read_chats(format_chats(turns.unionByName(forged))).drop("valid")
 
 
 QUERIES = {
@@ -91,4 +91,3 @@ QUERIES = {
     "op9_jaccard": op9_jaccard,
     "op10_chat": op10_chat,
 }
-ORACLE_SQL: dict[str, str] = {}
