@@ -70,6 +70,10 @@ def parser() -> argparse.ArgumentParser:
     options.add_argument("--no-fail-on-data-loss", action="store_true")
     options.add_argument("--max-offsets", type=int, help="messages per micro-batch and topic")
     options.add_argument("--cache-lookups", action="store_true")
+    options.add_argument(
+        "--lookup-bounds", type=int, nargs=2, metavar=("LOW", "HIGH"),
+        help="smallest and largest id of the lookup tables: read them in slices",
+    )
     options.add_argument("--every", help="interval between micro-batches, like '30 seconds'")
     options.add_argument("--once", action="store_true", help="stop when all is read")
     return options
@@ -90,7 +94,10 @@ def _topic(spark: SparkSession, args: argparse.Namespace, topic: str) -> DataFra
 
 
 def _lookup(spark: SparkSession, args: argparse.Namespace, table: str) -> Lookup:
-    source = jdbc_dim_source(spark, _database(args, DIMENSION_DATABASE), table)
+    slices = {}
+    if args.lookup_bounds:
+        slices = {"partition_column": "id", "bounds": tuple(args.lookup_bounds)}
+    source = jdbc_dim_source(spark, _database(args, DIMENSION_DATABASE), table, **slices)
     return lookup_table(source, cache=args.cache_lookups)
 
 

@@ -176,6 +176,7 @@ ORACLE_SQL: dict[str, str] = {
     "user_agent_rollup": _AGENT_ROLLUP,
     "stream_actions_rollup": _ACTIONS_ROLLUP,
     "stream_logs_rollup": _LOGS_ROLLUP,
+    "stream_logs_compacted": _LOGS_ROLLUP,
     "stream_user_agent_rollup": _AGENT_ROLLUP,
     "upsert_snapshot": _LOGS_ROLLUP,
 }

@@ -79,6 +79,22 @@ def q_stream_logs_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_snapshot(spark, table)
 
 
+def q_stream_logs_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same report from a table that is compacted after every micro-batch."""
+    folder = shared_folder(spark, "compacted")
+    table = SnapshotTable(f"{folder}/report", LOGS_REPORT)
+    queries = start_logs(
+        _topic_stream(spark, sf_dir, "bounce", folder),
+        _topic_stream(spark, sf_dir, "delivered", folder),
+        snapshot_writer(table, compact_every=1),
+        f"{folder}/archive",
+        f"{folder}/checkpoints",
+        ALL_NOW,
+    )
+    await_queries(queries)
+    return read_snapshot(spark, table)
+
+
 def q_stream_user_agent_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = shared_folder(spark, "user-agents")
     table = SnapshotTable(f"{folder}/report", USER_AGENT_REPORT)

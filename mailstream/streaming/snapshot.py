@@ -19,6 +19,9 @@ from pyspark.sql.types import LongType, StructField, StructType
 from mailstream.operators.rollup import TOTAL
 
 BATCH = "batch"
+#: A stream has no adaptive execution, so rows are dealt to files by count.
+ROWS_PER_FILE = 1_000_000
+NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
 QUERY_ID = "sql.streaming.queryId"
 
 
@@ -74,8 +77,13 @@ def publish(batch: DataFrame, batch_id: int, table: SnapshotTable) -> None:
         _claim(spark, table, query_id)
     if batch_id in _published(spark, f"{table.path}/changes"):
         return
-    rows = batch.select(*table.schema.names).hint("rebalance")
-    rows.write.mode("overwrite").parquet(f"{table.path}/changes/batch={batch_id}")
+    rows = batch.select(*table.schema.names).persist()
+    try:
+        files = max(1, -(-rows.count() // ROWS_PER_FILE))
+        dealt = rows.repartition(files)
+        dealt.write.mode("overwrite").parquet(f"{table.path}/changes/batch={batch_id}")
+    finally:
+        rows.unpersist()
 
 
 def _read(spark: SparkSession, table: SnapshotTable, kind: str, batches: list[int]) -> DataFrame:
@@ -101,34 +109,86 @@ def _pending(spark: SparkSession, table: SnapshotTable, bases: list[int]) -> lis
     return [n for n in _published(spark, f"{table.path}/changes") if n > done]
 
 
+def _newest_bases(spark: SparkSession, table: SnapshotTable, bases: list[int]) -> dict[str, int]:
+    """The last base that holds each partition value, by the names of folders.
+
+    Compacting writes all keys of the days it touches, so older bases of a day are stale.
+    """
+    newest: dict[str, int] = {}
+    for n in bases:
+        pattern, files = _file_system(
+            spark, f"{table.path}/base/batch={n}/{table.partition_by}=*"
+        )
+        for found in files.globStatus(pattern) or []:
+            newest[found.getPath().getName().split("=", 1)[1]] = n
+    return newest
+
+
+def _current_base(spark: SparkSession, table: SnapshotTable, bases: list[int]) -> DataFrame:
+    """Base rows that no later base replaces; no key occurs twice."""
+    rows = _read(spark, table, "base", bases)
+    if len(bases) < 2:
+        return rows
+    newest = _newest_bases(spark, table, bases)
+    # One row for each day folder, which the driver has listed.
+    valid = spark.createDataFrame(list(newest.items()), "__day string, __batch bigint")
+    day = F.coalesce(F.col(table.partition_by).cast("string"), F.lit(NO_VALUE))
+    same = (day == F.col("__day")) & (F.col(BATCH) == F.col("__batch"))
+    return rows.join(F.broadcast(valid), same, "left_semi")
+
+
+def _on_touched(rows: DataFrame, touched: DataFrame, day: str, how: str) -> DataFrame:
+    return rows.join(touched, rows[day].eqNullSafe(touched["__day"]), how)
+
+
 def read_snapshot(spark: SparkSession, table: SnapshotTable) -> DataFrame:
-    """The current rows: the newest total of every key."""
+    """The current rows: the newest total of every key.
+
+    Only days with pending changes are grouped; the others are read as they are.
+    """
     bases = _published(spark, f"{table.path}/base")
-    base = _read(spark, table, "base", bases)
-    changes = _read(spark, table, "changes", _pending(spark, table, bases))
-    return _newest(base.unionByName(changes), table)
+    base = _current_base(spark, table, bases)
+    pending = _pending(spark, table, bases)
+    if not pending:
+        return base.select(*table.schema.names)
+    changes = _read(spark, table, "changes", pending)
+    if not bases:
+        return _newest(changes, table)
+    day = table.partition_by
+    touched = changes.select(F.col(day).alias("__day")).distinct()
+    mixed = _on_touched(base, touched, day, "left_semi").unionByName(changes)
+    still = _on_touched(base, touched, day, "left_anti").select(*table.schema.names)
+    return _newest(mixed, table).unionByName(still)
 
 
 def compact(spark: SparkSession, table: SnapshotTable) -> None:
     """Fold the pending changes into a new base; readers switch when it is done.
 
-    Only the partition values that occur in the changes reach the driver; they are
-    days, and they limit what is read and written.
+    Only days that occur in the changes are read and written.  A day gets as many files
+    as its rows need, counted before; so one large day is split and small days are not,
+    inside a stream as well, which has no adaptive execution.
     """
     bases = _published(spark, f"{table.path}/base")
     pending = _pending(spark, table, bases)
     if not pending:
         return
-    changes = _read(spark, table, "changes", pending)
-    touched = [row[0] for row in changes.select(table.partition_by).distinct().collect()]
-    day = F.col(table.partition_by)
-    in_touched = day.isin(*(value for value in touched if value is not None))
-    if None in touched:
-        in_touched = in_touched | day.isNull()
-    base = _read(spark, table, "base", bases).where(in_touched)
-    rows = _newest(base.unionByName(changes), table).hint("rebalance", table.partition_by)
+    day = table.partition_by
+    rows = _read(spark, table, "changes", pending)
+    touched = rows.select(F.col(day).alias("__day")).distinct()
+    if bases:
+        base = _current_base(spark, table, bases)
+        rows = _on_touched(base, touched, day, "left_semi").unionByName(rows)
+    counts = rows.groupBy(F.col(day).alias("__day")).agg(
+        F.ceil(F.count("*") / ROWS_PER_FILE).alias("__files")
+    )
+    newest = _newest(rows, table)
+    dealt = newest.join(counts, newest[day].eqNullSafe(counts["__day"])).withColumn(
+        "__file", F.pmod(F.xxhash64(*table.keys), F.col("__files"))
+    )
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    dealt = dealt.repartition(tasks, day, "__file").select(*table.schema.names)
     target = f"{table.path}/base/batch={pending[-1]}"
-    rows.write.mode("overwrite").partitionBy(table.partition_by).parquet(target)
+    dealt.write.mode("overwrite").partitionBy(day).parquet(target)
 
 
 def _delete(spark: SparkSession, folder: str) -> None:

@@ -31,7 +31,7 @@ def wired(spark, tmp_path, monkeypatch):
         lines.write.mode("overwrite").parquet(path)
         return file_source(spark, path)
 
-    def table(session, target, name):
+    def table(session, target, name, **slices):
         return {"isp_domains": fx.isp_table, "lists": fx.list_table}[name](spark, SMALL)
 
     monkeypatch.setattr(cli, "kafka_source", topic_files)

@@ -90,16 +90,24 @@ def test_password_is_not_shown():
 
 def test_upsert_stages_and_merges():
     writer, ran = Recorder(), []
+    properties = {"sql.streaming.queryId": "0a1b2c3d-4e5f-6071-8293-a4b5c6d7e8f9"}
+    spark = SimpleNamespace(sparkContext=SimpleNamespace(getLocalProperty=properties.get))
     batch = SimpleNamespace(
-        columns=["job_id", "user", "total_count"], write=writer, sparkSession="session"
+        columns=["job_id", "day", "total_count"],
+        dtypes=[("job_id", "string"), ("day", "date"), ("total_count", "bigint")],
+        write=writer,
+        sparkSession=spark,
     )
     upsert_jdbc(batch, TARGET, "logs_table", 4, lambda *call: ran.append(call))
-    assert writer.given["dbtable"] == "logs_table_staging"
+    assert writer.given["dbtable"] == "logs_table_staging_0a1b2c3d4e5f"
+    assert writer.given["createTableColumnTypes"] == "`job_id` VARCHAR(512)"
     assert writer.given["mode"] == "overwrite" and writer.given["truncate"] == "true"
     assert writer.given["numPartitions"] == "4" and writer.done == ["save"]
     (session, target, statements), = ran
-    assert (session, target) == ("session", TARGET)
-    assert statements == merge_statements("logs_table", "logs_table_staging", ["job_id", "user"])
+    assert (session, target) == (spark, TARGET)
+    assert statements == merge_statements(
+        "logs_table", "logs_table_staging_0a1b2c3d4e5f", ["job_id", "day"], ["job_id"]
+    )
 
 
 def test_merge_statements():
@@ -117,19 +125,37 @@ def test_merge_statements():
     )
 
 
-def test_statements_run_in_one_transaction():
+def test_texts_are_compared_by_bytes():
+    update, insert = merge_statements("t", "s", ["a", "d"], ["a"])
+    exact = "`a` COLLATE utf8mb4_bin"
+    staged = (
+        f"(SELECT {exact} AS `a`, `d`, MAX(`total_count`) AS `total_count` FROM `s` "
+        f"GROUP BY {exact}, `d`) AS s"
+    )
+    assert staged in update and staged in insert
+    assert f"t.{exact} <=> s.`a` AND t.`d` <=> s.`d`" in update
+
+
+@pytest.mark.parametrize("fails", [False, True])
+def test_statements_run_in_one_transaction(fails):
     log = []
 
+    def execute(text):
+        log.append(text)
+        if fails and text == "two":
+            raise RuntimeError("deadlock")
+
     def connection():
         def statement():
             return SimpleNamespace(
-                executeUpdate=lambda text: log.append(text), close=lambda: None
+                executeUpdate=execute, close=lambda: None
             )
 
         return SimpleNamespace(
             setAutoCommit=lambda on: log.append(on),
             createStatement=statement,
             commit=lambda: log.append("commit"),
+            rollback=lambda: log.append("rollback"),
             close=lambda: log.append("close"),
         )
 
@@ -144,5 +170,9 @@ def test_statements_run_in_one_transaction():
         util=SimpleNamespace(Properties=lambda: SimpleNamespace(setProperty=lambda k, v: None)),
     )
     session = SimpleNamespace(_jvm=SimpleNamespace(java=java))
-    run_statements(session, TARGET, ["one", "two"])
-    assert log == [False, "one", "two", "commit", "close"]
+    if fails:
+        with pytest.raises(RuntimeError, match="deadlock"):
+            run_statements(session, TARGET, ["one", "two"])
+    else:
+        run_statements(session, TARGET, ["one", "two"])
+    assert log == [False, "one", "two", "rollback" if fails else "commit", "close"]

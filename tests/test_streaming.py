@@ -25,6 +25,7 @@ from mailstream.plans.schemas import (
 from mailstream.plans.user_agents import user_agent_rollup
 from mailstream.session import shared_folder
 from mailstream.sources.files import file_lines, file_source
+from mailstream.streaming import snapshot
 from mailstream.streaming.jobs import (
     await_queries,
     start_actions,
@@ -324,6 +325,48 @@ def test_compacting_changes_nothing_for_readers(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(date" in scan._jdf.queryExecution().executedPlan().toString()
 
 
+def test_days_without_changes_are_read_as_they_are(spark, tmp_path):
+    table = SnapshotTable(str(tmp_path / "t"), LOGS_REPORT)
+    publish(days_of(spark, (1, "a", 1), (2, "a", 1)), 0, table)
+    compact(spark, table)
+    plan = read_snapshot(spark, table)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Aggregate" not in plan
+    publish(days_of(spark, (2, "a", 3)), 1, table)
+    compact(spark, table)
+    settled = read_snapshot(spark, table)
+    assert by_day(settled) == {(1, "a"): 1, (2, "a"): 3}
+    assert "Aggregate" not in settled._jdf.queryExecution().executedPlan().toString()
+
+
+def test_files_inside_a_stream_follow_the_rows(spark, tmp_path, monkeypatch):
+    """64 shuffle partitions and 20 days, one of them with half of the keys."""
+    monkeypatch.setattr(snapshot, "ROWS_PER_FILE", 500)
+    monkeypatch.setenv("TZ", "UTC")
+    rows = spark.range(4000).selectExpr(
+        "date_add(date'2024-01-01', int(if(id % 2 = 0, 0, id % 20))) as date",
+        "cast(id as string) as job_id",
+    )
+    others = [f for f in LOGS_REPORT if f.name not in ("date", "job_id", TOTAL)]
+    rows = rows.selectExpr("*", *[f"cast(null as {f.dataType.simpleString()}) as {f.name}" for f in others])
+    rows.write.parquet(str(tmp_path / "in"))
+    table = SnapshotTable(str(tmp_path / "t"), LOGS_REPORT)
+    partitions = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    try:
+        stream = spark.readStream.schema(rows.schema).parquet(str(tmp_path / "in"))
+        keys = [n for n in LOGS_REPORT.names if n != TOTAL]
+        counts = stream.groupBy(*keys).count().withColumnRenamed("count", TOTAL)
+        writer = snapshot_writer(table, compact_every=1)
+        await_queries([start_upsert(counts, writer, str(tmp_path / "cp"), NOW)])
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    files = {p.name: len(list(p.glob("*.parquet"))) for p in (tmp_path / "t" / "base").glob("batch=0/date=*")}
+    assert len(files) == 11 and 2 <= files.pop("date=2024-01-01") <= 4
+    assert set(files.values()) == {1}
+    assert len(list((tmp_path / "t" / "changes" / "batch=0").glob("*.parquet"))) <= 8
+    assert read_snapshot(spark, table).count() == 4000
+
+
 def test_a_table_takes_batches_of_one_query_only(spark, tmp_path):
     stage(spark, "bounce", str(tmp_path / "in"), 1)
     table = SnapshotTable(str(tmp_path / "t"), LOGS_REPORT)
