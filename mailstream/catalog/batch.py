@@ -20,7 +20,7 @@ from mailstream.operators.decode import (
 from mailstream.operators.filters import drop_anonymous, drop_seeds
 from mailstream.operators.geo import GeoBlocks, geo_blocks, ip_to_country
 from mailstream.operators.lookup import Lookup, join_isp, join_lists, lookup_table
-from mailstream.operators.rollup import rollup_all_columns, union_rows
+from mailstream.operators.rollup import rollup_all_columns, sum_counts, union_rows
 from mailstream.plans.actions import action_rows, actions_rollup, enrich_actions
 from mailstream.plans.logs import logs_rollup
 from mailstream.plans.user_agents import user_agent_rollup
@@ -196,15 +196,21 @@ def q_rollup_actions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_rollup_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rollup_all_columns(q_union_logs(spark, sf_dir))
+    """Each topic counted by itself, then the counts of both added up."""
+    parts = [
+        rollup_all_columns(q_union_logs(spark, sf_dir).where(F.col("type") == topic))
+        for topic in fx.LOG_EVENTS
+    ]
+    return sum_counts(union_rows(*parts))
 
 
 def q_rollup_user_agent(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Twelve keys over all three topics, the provider still as its id."""
     lines = fx.action_lines(spark, sf_dir)
     decoded = union_rows(*(decode_actions(part, topic) for topic, part in lines.items()))
-    rows = decoded.select("job_id", "date", "isp_id", "http_user_agent")
-    return rollup_all_columns(struct_expand(parse_user_agent(rows)).drop("http_user_agent"))
+    rows = rollup_all_columns(decoded.select("job_id", "date", "isp_id", "http_user_agent"))
+    # Equal texts are counted first and parsed once.
+    return sum_counts(struct_expand(parse_user_agent(rows)).drop("http_user_agent"))
 
 
 def q_actions_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
