@@ -5,6 +5,7 @@ from compare import assert_same
 from pyspark.sql import functions as F
 
 import corpus_pipeline
+from mailstream.llm.common import written
 from mailstream.llm.oracle import ORACLE_SQL
 from mailstream.llm.queries import QUERIES
 
@@ -43,7 +44,7 @@ def test_stages_of_the_pipeline(spark):
     for name, stage in corpus_pipeline.STAGES[:-1]:
         docs = stage(spark, docs, SMALL)
         assert docs.columns == ["doc_id", "text", "lang", "source", "n_chars"], name
-        docs = spark.createDataFrame(docs.toPandas(), docs.schema)
+        docs = written(docs, "test")
         counts.append(docs.count())
         if name == "language":
             assert docs.where("doc_id between 90001 and 90003").count() == 0
