@@ -1,7 +1,7 @@
 """A training corpus from `documents`: five stages, each written before the next reads it.
 
 1. Language identification: texts without letters and texts whose language is unsure go.
-2. N-gram Jaccard join (three-word shingles, 90 %): the document with the smallest doc_id
+2. N-gram Jaccard join (five-word shingles, 80 %): the document with the smallest doc_id
    of each component stays; documents without words stay, as they link with nothing.
 3. Suffix-array deduplication: byte strings of 50 bytes that a document with a smaller
    doc_id has go; a character that loses a byte goes whole; a document of which nothing is
@@ -28,6 +28,8 @@ from mailstream.llm.suffixes import remove_repeated_bytes
 
 #: Least score of a language that counts as found.
 SURE = 0.5
+#: Words of a shingle, and the least similarity in percent of documents that are near copies.
+SHINGLE, NEAR = 5, 80
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -39,7 +41,7 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    groups = written(jaccard_components(docs), "pipeline-groups")
+    groups = written(jaccard_components(docs, NEAR, SHINGLE), "pipeline-groups")
     first = groups.where("component_id = doc_id").groupBy("doc_id").agg(
         F.count("*").alias("rows")
     )
