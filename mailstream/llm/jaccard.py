@@ -28,7 +28,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from mailstream.llm.common import components, slices, text_or_empty, written
@@ -114,17 +114,24 @@ def signatures(hashes: np.ndarray, percent: int) -> np.ndarray:
     return np.unique(np.concatenate(out))
 
 
+def _rows(docs: DataFrame) -> DataFrame:
+    """doc_id, text_hash, text of each row; the first two name a row even without doc_id."""
+    rows = docs.select(docs["doc_id"].cast("long").alias("doc_id"), text_or_empty().alias("text"))
+    return rows.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
+
+
 def _map_sets(docs: DataFrame, schema: str, shingle: int, row) -> DataFrame:
-    """Runs `row(doc_id, set)`, which gives equally long columns, for each document."""
+    """Runs `row(doc_id, text_hash, set)`, which gives equally long columns, for each document."""
     names = [part.split()[0] for part in schema.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch):
                 found = [
-                    row(doc_id, shingle_set(text, shingle))
-                    for doc_id, text in zip(
+                    row(doc_id, text_hash, shingle_set(text, shingle))
+                    for doc_id, text_hash, text in zip(
                         part.column("doc_id").to_pylist(),
+                        part.column("text_hash").to_pylist(),
                         part.column("text").to_pylist(),
                         strict=True,
                     )
@@ -138,8 +145,7 @@ def _map_sets(docs: DataFrame, schema: str, shingle: int, row) -> DataFrame:
                 if columns:
                     yield pa.RecordBatch.from_arrays(columns, names)
 
-    rows = docs.select(docs["doc_id"].cast("long").alias("doc_id"), text_or_empty().alias("text"))
-    return rows.mapInArrow(run, schema)
+    return _rows(docs).mapInArrow(run, schema)
 
 
 def _key(hashes: np.ndarray) -> np.ndarray:
@@ -148,18 +154,25 @@ def _key(hashes: np.ndarray) -> np.ndarray:
     return mix(total[:1] ^ mix(total[1:])).view(np.int64)
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) of classes whose whole sets are similar enough."""
-    first = sets.select(F.col("key").alias("a"), F.col("hashes").alias("x"))
-    second = sets.select(F.col("key").alias("b"), F.col("hashes").alias("y"))
+def _verified(pairs: DataFrame, texts: DataFrame, percent: int, shingle: int) -> DataFrame:
+    """The pairs (a, b) of classes whose whole sets are similar enough.
+
+    Texts travel and become sets again here, as they take less room than their hashes.
+    """
+    first = texts.select(F.col("key").alias("a"), F.col("text").alias("x"))
+    second = texts.select(F.col("key").alias("b"), F.col("text").alias("y"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, x = None, np.zeros(0, U64)
         for batch in batches:
             for part in slices(batch):
                 keep = []
-                for x, y in zip(part.column("x"), part.column("y"), strict=True):
-                    x = np.frombuffer(x.as_buffer(), U64)
-                    y = np.frombuffer(y.as_buffer(), U64)
+                columns = (part.column(name).to_pylist() for name in "axy")
+                for a, text, other in zip(*columns, strict=True):
+                    # Rows come in the order of a.
+                    if a != last:
+                        last, x = a, shingle_set(text, shingle)
+                    y = shingle_set(other, shingle)
                     at = np.searchsorted(y, x)
                     both = int((y[np.minimum(at, len(y) - 1)] == x).sum())
                     keep.append(100 * both >= percent * (len(x) + len(y) - both))
@@ -210,7 +223,7 @@ def _block_links(
 
 
 def _links_between(
-    crowd: DataFrame, roots: DataFrame, sets: DataFrame, percent: int
+    crowd: DataFrame, roots: DataFrame, texts: DataFrame, percent: int, shingle: int
 ) -> DataFrame:
     """Links between components that share a bucket, from blocks of whole sets.
 
@@ -248,10 +261,10 @@ def _links_between(
         classes.withColumnRenamed("block", "other"), ["cluster", "other"]
     )
     second_side = second_side.withColumn("second", F.lit(True))
-    rows = first_side.unionByName(second_side).join(sets, "key")
+    rows = first_side.unionByName(second_side).join(texts, "key")
 
     def run(group: pd.DataFrame) -> pd.DataFrame:
-        hashes = [np.frombuffer(x, U64) for x in group["hashes"]]
+        hashes = [shingle_set(text, shingle) for text in group["text"]]
         keys, tops = group["key"].to_numpy(), group["root"].to_numpy()
         found = _block_links(keys, tops, hashes, group["second"].to_numpy(bool), percent)
         return pd.DataFrame(found, columns=["a", "b"])
@@ -259,21 +272,28 @@ def _links_between(
     return rows.groupBy("cluster", "block", "other").applyInPandas(run, "a long, b long")
 
 
-def jaccard_components(docs: DataFrame, percent: int = 90, shingle: int = 3) -> DataFrame:
-    """doc_id, n_shingles, component_id for every row of `docs`."""
+def same_row(a: DataFrame, b: DataFrame) -> Column:
+    """Whether doc_id, which may be null, and text_hash agree."""
+    return a["doc_id"].eqNullSafe(b["doc_id"]) & (a["text_hash"] == b["text_hash"])
 
-    def member(doc_id, hashes):
-        return [doc_id], np.array([len(hashes)]), _key(hashes)
 
-    def signed(doc_id, hashes):
+def jaccard_rows(docs: DataFrame, percent: int = 90, shingle: int = 3) -> DataFrame:
+    """doc_id, text_hash, n_shingles, root for every row of `docs`.
+
+    Rows of a component have one root.  Rows without words share a root and no component.
+    """
+
+    def member(doc_id, text_hash, hashes):
+        return [doc_id], [text_hash], np.array([len(hashes)]), _key(hashes)
+
+    def signed(doc_id, text_hash, hashes):
         found = signatures(hashes, percent) if len(hashes) else np.zeros(0, U64)
         return found.view(np.int64), np.repeat(_key(hashes), len(found))
 
-    def whole(doc_id, hashes):
-        return _key(hashes), [hashes.tobytes()]
-
     members = written(
-        _map_sets(docs, "doc_id long, n_shingles long, key long", shingle, member),
+        _map_sets(
+            docs, "doc_id long, text_hash long, n_shingles long, key long", shingle, member
+        ),
         "jaccard-members",
     )
     index = _map_sets(docs, "signature long, key long", shingle, signed)
@@ -294,20 +314,28 @@ def jaccard_components(docs: DataFrame, percent: int = 90, shingle: int = 3) ->
         pairs.select(F.col("b").alias("key"))
     )
     met = met.unionByName(crowd.select("key")).distinct()
-    chosen = members.groupBy("key").agg(F.min("doc_id").alias("doc_id")).join(met, "key")
-    texts = docs.join(chosen.select("doc_id"), "doc_id", "left_semi")
-    sets = written(
-        _map_sets(texts, "key long, hashes binary", shingle, whole).dropDuplicates(["key"]),
-        "jaccard-sets",
-    )
-    links = written(_verified(pairs, sets, percent), "jaccard-links")
+    # By doc_id and text: a doc_id may be null or repeated.
+    chosen = members.groupBy("key").agg(F.min(F.struct("doc_id", "text_hash")).alias("row"))
+    chosen = chosen.join(met, "key").select("key", "row.*")
+    rows = _rows(docs)
+    texts = rows.join(chosen, same_row(rows, chosen)).select("key", "text")
+    texts = written(texts.dropDuplicates(["key"]), "jaccard-texts")
+    links = written(_verified(pairs, texts, percent, shingle), "jaccard-links")
     roots = written(components(links, "jaccard-stars"), "jaccard-roots")
-    more = written(_links_between(crowd, roots, sets, percent), "jaccard-more-links")
+    more = _links_between(crowd, roots, texts, percent, shingle)
+    more = written(more, "jaccard-more-links")
     if not more.isEmpty():
         links = links.unionByName(more)
         roots = written(components(links, "jaccard-stars"), "jaccard-roots")
     rooted = members.join(roots.withColumnRenamed("node", "key"), "key", "left")
-    rooted = rooted.withColumn("root", F.coalesce("root", "key"))
+    return rooted.select(
+        "doc_id", "text_hash", "n_shingles", F.coalesce("root", "key").alias("root")
+    )
+
+
+def jaccard_components(docs: DataFrame, percent: int = 90, shingle: int = 3) -> DataFrame:
+    """doc_id, n_shingles, component_id for every row of `docs`."""
+    rooted = jaccard_rows(docs, percent, shingle)
     least = rooted.groupBy("root").agg(F.min("doc_id").alias("least"))
     return rooted.join(least, "root").select(
         "doc_id",

@@ -1,6 +1,7 @@
 """The pipeline's stages on planted documents."""
 
 import corpus_pipeline
+from mailstream.llm.jaccard import jaccard_components
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -37,3 +38,12 @@ def test_near_copies_from_80_percent_go(spark):
     assert len(gone) == 4 * 5
     left = corpus_pipeline.near_duplicate_stage(spark, frame(spark, rows), "")
     assert {r["doc_id"] for r in left.collect()} == {i for i, _ in rows} - gone
+
+
+def test_rows_without_id_link_others(spark):
+    words = [f"w{i}" for i in range(100)]
+    cut = [" ".join(words[:n]) for n in (90, 81, 100)]
+    # 5 and 6 are linked only through the row without doc_id.
+    docs = frame(spark, [(None, cut[0]), (5, cut[1]), (6, cut[2])])
+    found = jaccard_components(docs, 88, 5).collect()
+    assert {(r["doc_id"], r["component_id"]) for r in found} == {(None, 5), (5, 5), (6, 5)}
