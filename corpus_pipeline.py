@@ -1,15 +1,16 @@
 """A training corpus from `documents`: five stages, each written before the next reads it.
 
 1. Language identification: texts without letters and texts whose language is unsure go.
-2. N-gram Jaccard join (five-word shingles, 80 %): the document with the smallest doc_id
-   of each component stays; documents without words stay, as they link with nothing.
+2. N-gram Jaccard join (five-word shingles, 80 %): one row of each component stays, that
+   with the smallest doc_id (null comes last) and, where doc_ids repeat, the smallest hash of
+   its text; documents without words stay, as they link with nothing.
 3. Suffix-array deduplication: byte strings of 50 bytes that a document with a smaller
    doc_id has go; a character that loses a byte goes whole; a document of which nothing is
    left goes; n_chars is counted anew.
 4. Mixing: documents are repeated or left out so that sources come near their targets.
 5. SentencePiece: ids of each text, checked against the library, with their digests.
 
-Rows with null doc_id pass stages 2 and 4 like others and are never merged into a component.
+Rows with null doc_id pass stages 2 and 4 like others.
 Columns beyond those of `documents` pass through stages 1, 2 and 4 and end at stage 3.
 """
 
@@ -19,8 +20,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mailstream.llm.common import table, written
-from mailstream.llm.jaccard import jaccard_components
+from mailstream.llm.common import WORD, table, text_or_empty, written
+from mailstream.llm.jaccard import jaccard_rows
 from mailstream.llm.language import UNDECIDED, fit_languages, predict_languages
 from mailstream.llm.mixing import copies_of, mix_sources
 from mailstream.llm.pieces import encode_pieces
@@ -41,14 +42,19 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    groups = written(jaccard_components(docs, NEAR, SHINGLE), "pipeline-groups")
-    first = groups.where("component_id = doc_id").groupBy("doc_id").agg(
-        F.count("*").alias("rows")
-    )
-    kept = docs.join(first.select("doc_id"), "doc_id", "left_semi")
-    if not first.where("rows > 1").isEmpty():
-        kept = kept.dropDuplicates(["doc_id"])
-    return kept.unionByName(docs.where(F.col("doc_id").isNull())).select(*docs.columns)
+    groups = written(jaccard_rows(docs, NEAR, SHINGLE), "pipeline-groups")
+    worded = groups.where("n_shingles > 0")
+    row = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_hash")
+    first = worded.groupBy("root").agg(F.min(row).alias("row")).select("row.*").drop("last")
+    text = text_or_empty()
+    named = docs.withColumns(
+        {"_doc": F.col("doc_id").cast("long"), "_hash": F.xxhash64(text)}
+    ).where(text.rlike(WORD))
+    same = named["_doc"].eqNullSafe(first["doc_id"]) & (named["_hash"] == first["text_hash"])
+    kept = named.join(first, same, "left_semi")
+    if not worded.groupBy("doc_id", "text_hash").count().where("count > 1").isEmpty():
+        kept = kept.dropDuplicates(["_doc", "_hash"])
+    return kept.select(*docs.columns).unionByName(docs.where(~text.rlike(WORD)))
 
 
 def repeated_span_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

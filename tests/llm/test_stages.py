@@ -40,6 +40,23 @@ def test_near_copies_from_80_percent_go(spark):
     assert {r["doc_id"] for r in left.collect()} == {i for i, _ in rows} - gone
 
 
+def test_one_row_of_each_component_stays(spark):
+    a, b, c, d = ([f"{k}{i}" for i in range(60)] for k in "abcd")
+    ending = [f"z{i}" for i in range(8)]
+    rows = [
+        (1, " ".join(a)), (1, " ".join(b)),  # one doc_id, texts that have nothing in common
+        (2, " ".join(c)), (3, " ".join(a + ending)), (3, " ".join(d)), (2, " ".join(c)),
+        (None, " ".join(a)), (None, "e f g"), (None, "E  f g"), (None, "h i j"),
+        (None, ""), (None, None), (4, " "),
+    ]
+    left = corpus_pipeline.near_duplicate_stage(spark, frame(spark, rows), "").collect()
+    assert {r["text"].lower().split()[0] for r in left if (r["text"] or "").strip()} == {
+        "a0", "b0", "c0", "d0", "e", "h",
+    }
+    assert len(left) == 6 + 3
+    assert {(r["doc_id"], r["text"]) for r in left} >= {(1, rows[0][1]), (3, rows[4][1]), (4, " ")}
+
+
 def test_rows_without_id_link_others(spark):
     words = [f"w{i}" for i in range(100)]
     cut = [" ".join(words[:n]) for n in (90, 81, 100)]
