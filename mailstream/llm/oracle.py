@@ -83,9 +83,115 @@ select conv_id, count(*) as n_turns,
     as bigint) as formatted_chars
 from sized group by conv_id"""
 
+_FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
+#: Levels of a tree that the statement has: 16**5 documents a source, 16**5 sources.
+_LEVELS = 5
+
+
+def _leaf_sql(text: str) -> str:
+    fields = (
+        f"coalesce(strlen(cast({v} as varchar)) || ':' || cast({v} as varchar), '-')"
+        for v in (*_FIELDS[:-1], text)
+    )
+    return f"sha256({' || '.join(fields)})"
+
+
+def _tree_sql(name: str, leaves: str) -> str:
+    """Tables name_0 .. (tree, place, h, n, run: all of a node's run) above `leaves`.
+
+    A node of a tree that has one node at its level is passed on as it is.
+    """
+    tables = [f"{name}_h0 as ({leaves})"]
+    for level in range(_LEVELS + 1):
+        tables.append(
+            f"{name}_{level} as (select tree, place, h, count(*) over (partition by tree) as n, "
+            "list(h) over (partition by tree, place // 16 order by place "
+            f"rows between unbounded preceding and unbounded following) as run from {name}_h{level})"
+        )
+        tables.append(
+            f"{name}_h{level + 1} as (select tree, place // 16 as place, case when min(n) = 1 then min(h) "
+            "else sha256(string_agg(h, '' order by place)) end as h "
+            f"from {name}_{level} group by tree, place // 16)"
+        )
+    return ", ".join(tables)
+
+
+def _path_sql(name: str, start: str, tree: str, position: str) -> str:
+    """Tables name_path.. : proof and folded of each row of `start`, level by level."""
+    tables, last = [], start
+    for level in range(_LEVELS):
+        here = f"{name}_path{level}"
+        at = f"({last}.{position} // {16**level})"
+        own = f"({at} % 16 + 1)"
+        tables.append(
+            f"{here} as (select {last}.* exclude (proof, folded), proof || case when n = 1 then '' else "
+            f"array_to_string(run[:{own} - 1] || run[{own} + 1:], '') end as proof, "
+            f"case when n = 1 then folded else sha256(array_to_string(run[:{own} - 1] || [folded] || "
+            f"run[{own} + 1:], '')) end as folded "
+            f"from {last} join {name}_{level} on {name}_{level}.tree = {last}.{tree} "
+            f"and {name}_{level}.place = {at})"
+        )
+        last = here
+    return ", ".join(tables)
+
+
+# The CRC of the decimal digits, bit by bit; 3988292384 is its polynomial, reversed.
+_CRC = """xor(4294967295, list_reduce(list_concat([4294967295], list_transform(
+  string_split(cast(doc_id as varchar), ''), lambda c: cast(ascii(c) as bigint))),
+  lambda crc, byte: list_reduce(list_concat([xor(crc, byte)], [0, 0, 0, 0, 0, 0, 0, 0]),
+    lambda c, zero: xor(c // 2, 3988292384 * (c % 2) + zero))))"""
+
+_MANIFEST = f"""
+with numbered as (select *, dense_rank() over (order by source nulls first) - 1 as tree from documents),
+digests as (select tree, doc_id, {_leaf_sql("text")} as leaf,
+  case when {_CRC} % 5 = 0 then {_leaf_sql(_CAPITALS.replace("coalesce(text, '')", "text"))} end as found
+  from numbered),
+leaves as (select *, row_number() over (partition by tree order by doc_id nulls first, leaf) - 1 as pos,
+  '' as proof, coalesce(found, leaf) as folded from digests),
+{_tree_sql("docs", "select tree, pos as place, leaf as h from leaves")},
+subroots as (select tree, h as subroot from docs_h{_LEVELS + 1}),
+{_tree_sql("tops", "select 0 as tree, tree as place, subroot as h from subroots")},
+{_path_sql("docs", "leaves", "tree", "pos")},
+crowned as (select *, 0 as top, tree as source_no from docs_path{_LEVELS - 1}),
+{_path_sql("tops", "crowned", "top", "source_no")}
+select doc_id, leaf, subroot, r.h as root, sha256(proof) as proof_sha256, folded as folded_root,
+  folded = r.h as verified
+from tops_path{_LEVELS - 1} as p join subroots on subroots.tree = p.source_no
+cross join tops_h{_LEVELS + 1} as r"""
+
+_PHRASES = f"""
+with pieces as (select coalesce(lang, 'und') as lang, regexp_extract_all(unnest(
+    regexp_split_to_array({_CAPITALS}, '[.,;:!?\x0A-\x0D]')), '[^\x20\x09]+') as w from documents),
+places as (select lang, unnest(w) as a, unnest(w[2:]) as b, unnest(w[3:]) as c from pieces),
+f1 as (select lang, a, count(*) as f from places where a is not null group by all),
+f2 as (select lang, a, b, count(*) as f from places where b is not null group by all),
+f3 as (select lang, a, b, c, count(*) as f from places where c is not null group by all having f >= 10),
+sizes as (select lang, sum(f) as n from f1 group by lang),
+cuts as (
+  select f2.lang, f2.a || ' ' || f2.b as phrase, f2.f as a, 1 as k, x.f as l, y.f as r from f2
+    join f1 x on x.lang = f2.lang and x.a = f2.a join f1 y on y.lang = f2.lang and y.a = f2.b
+    where f2.f >= 10 and not exists (from f3 where f3.lang = f2.lang and 100 * f3.f >= 50 * f2.f
+      and ((f3.a = f2.a and f3.b = f2.b) or (f3.b = f2.a and f3.c = f2.b)))
+  union all select f3.lang, f3.a || ' ' || f3.b || ' ' || f3.c, f3.f, 1, x.f, y.f from f3
+    join f1 x on x.lang = f3.lang and x.a = f3.a
+    join f2 y on y.lang = f3.lang and y.a = f3.b and y.b = f3.c
+  union all select f3.lang, f3.a || ' ' || f3.b || ' ' || f3.c, f3.f, 2, x.f, y.f from f3
+    join f2 x on x.lang = f3.lang and x.a = f3.a and x.b = f3.b
+    join f1 y on y.lang = f3.lang and y.a = f3.c),
+scored as (select *, cast((cast(1000000 as hugeint) * a * a) // (cast(l as hugeint) * r) as bigint)
+  as score from cuts),
+lowest as (select * from scored qualify row_number() over (partition by lang, phrase
+  order by score, k) = 1),
+ranked as (select *, row_number() over (partition by lang
+  order by score desc, a desc, encode(phrase)) as rank from lowest)
+select lang, rank, phrase, a, l, r, cast(n as bigint) as n, score
+from ranked join sizes using (lang) where rank <= 2000"""
+
 ORACLE_SQL: dict[str, str] = {
     "op1_suffixes": _BYTES,
     "op4_bruijn": _WORD_WINDOWS,
     "op9_jaccard": _COMPONENTS,
     "op10_chat": _CHATS,
+    "op12_manifest": _MANIFEST,
+    "op13_phrases": _PHRASES,
 }

@@ -12,7 +12,10 @@ from mailstream.llm.chat import format_chats, read_chats
 from mailstream.llm.common import table
 from mailstream.llm.jaccard import jaccard_components
 from mailstream.llm.language import fit_languages, predict_languages
+from mailstream.llm.licenses import scan_licenses
+from mailstream.llm.manifest import leaf_digest, merkle_manifest
 from mailstream.llm.mixing import mix_sources
+from mailstream.llm.phrases import collocations
 from mailstream.llm.pieces import encode_pieces
 from mailstream.llm.quality import fit_quality, score_quality
 from mailstream.llm.sketches import fingerprints
@@ -79,6 +82,21 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_chats(format_chats(turns.unionByName(forged))).drop("valid")
 
 
+def op11_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licenses(table(spark, sf_dir, "documents"))
+
+
+def op12_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    small = F.translate(docs["text"], "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    tampered = F.crc32(docs["doc_id"].cast("string")) % 5 == 0
+    return merkle_manifest(docs, F.when(tampered, leaf_digest(docs, text=small))).drop("n_siblings")
+
+
+def op13_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_suffixes": op1_suffixes,
     "op2_sketch": op2_sketch,
@@ -90,4 +108,7 @@ QUERIES = {
     "op8_quality": op8_quality,
     "op9_jaccard": op9_jaccard,
     "op10_chat": op10_chat,
+    "op11_licenses": op11_licenses,
+    "op12_manifest": op12_manifest,
+    "op13_phrases": op13_phrases,
 }

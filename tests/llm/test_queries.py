@@ -18,7 +18,7 @@ def test_same_as_sql(spark, name):
 
 
 def test_names():
-    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 11))
+    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 14))
     assert set(ORACLE_SQL) < set(QUERIES)
 
 
