@@ -119,7 +119,7 @@ def start(spark: SparkSession, args: argparse.Namespace) -> list[StreamingQuery]
             topics,
             _lookup(spark, args, ISP_TABLE),
             _lookup(spark, args, LIST_TABLE),
-            geo_blocks(networks, cache=args.cache_lookups, blocks6=networks6),
+            geo_blocks(networks, blocks6=networks6),
             write,
             args.checkpoint,
             trigger,

@@ -7,8 +7,20 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame
 
 from mailstream.operators.decode import decode_actions
-from mailstream.operators.geo import GeoBlocks, ip_to_country
-from mailstream.operators.lookup import Lookup, join_isp, join_lists, with_salt
+from mailstream.operators.geo import (
+    GeoBlocks,
+    address_numbers,
+    ip_to_country,
+    shuffled_networks,
+)
+from mailstream.operators.lookup import (
+    HotKeys,
+    Lookup,
+    hot_keys,
+    join_isp,
+    join_lists,
+    lookup_key,
+)
 from mailstream.operators.rollup import (
     TOTAL,
     rollup_all_columns,
@@ -34,12 +46,27 @@ def action_rows(topics: Iterable[tuple[str, DataFrame]]) -> DataFrame:
 
 
 def enrich_actions(
-    rows: DataFrame, isp_domains: Lookup, lists: Lookup, blocks: GeoBlocks
+    rows: DataFrame,
+    isp_domains: Lookup,
+    lists: Lookup,
+    blocks: GeoBlocks,
+    hot: HotKeys | None = None,
 ) -> DataFrame:
     """Ids and addresses replaced by names; further columns are kept."""
     others = [name for name in rows.columns if name == TOTAL]
-    named = join_lists(join_isp(ip_to_country(rows, blocks), isp_domains), lists)
-    return named.select(*ACTION_KEYS, *others)
+    named = join_isp(ip_to_country(rows, blocks, hot=hot), isp_domains, hot)
+    return join_lists(named, lists, hot).select(*ACTION_KEYS, *others)
+
+
+def hot_action_keys(
+    rows: DataFrame, isp_domains: Lookup, lists: Lookup, blocks: GeoBlocks
+) -> HotKeys:
+    """Hot keys of `rows` in the joins that need a shuffle; no job where none does."""
+    lookups = {"isp_id": isp_domains, "list_id": lists}
+    keys = {name: lookup_key(table, name) for name, table in lookups.items() if not table.small}
+    keys |= shuffled_networks(blocks)
+    pieces = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return hot_keys(address_numbers(rows), keys, pieces) if keys else {}
 
 
 def actions_rollup(
@@ -50,15 +77,14 @@ def actions_rollup(
 ) -> DataFrame:
     """Decode, enrich and count; the same for batch and streaming input.
 
-    With small lookups the only shuffle is that of the final count.  If one has to
-    be shuffled, a batch counts the raw rows first, so copies are not shuffled
-    again by each join, and a stream salts its rows.
+    With small lookups the only shuffle is that of the final count.  If one has to be
+    shuffled, a batch counts the raw rows first, so copies are not shuffled again by each
+    join.  A stream whose state counts the result cannot do that; `start_action_counts`
+    counts micro-batches instead.
     """
     rows = action_rows(topics)
-    if isp_domains.small and lists.small and blocks.small:
+    small = isp_domains.small and lists.small and blocks.all_small
+    if small or rows.isStreaming:
         return rollup_all_columns(enrich_actions(rows, isp_domains, lists, blocks))
-    if rows.isStreaming:
-        salted = with_salt(rows)
-        return rollup_all_columns(enrich_actions(salted, isp_domains, lists, blocks))
     counted = rollup_all_columns(rows)
     return sum_counts(enrich_actions(counted, isp_domains, lists, blocks))

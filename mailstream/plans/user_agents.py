@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from mailstream.functions.agents import BROWSERS, FIELDS, SYSTEMS, Rule
 from mailstream.operators.agents import parse_user_agent, struct_expand
 from mailstream.operators.decode import decode_actions
-from mailstream.operators.lookup import Lookup, join_isp, with_salt
+from mailstream.operators.lookup import Lookup, join_isp
 from mailstream.operators.rollup import TOTAL, rollup_all_columns, sum_counts
 
 USER_AGENT_KEYS = ("job_id", "date", "domain_name", *FIELDS)
@@ -47,7 +47,5 @@ def user_agent_rollup(
     """
     rows = agent_rows(lines)
     if rows.isStreaming:
-        if not isp_domains.small:
-            rows = with_salt(rows)
         return rollup_all_columns(enrich_agents(rows, isp_domains, browsers, systems))
     return sum_counts(enrich_agents(rollup_all_columns(rows), isp_domains, browsers, systems))

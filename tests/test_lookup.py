@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from mailstream.operators.lookup import SALT, join_isp, join_lists, lookup_table, with_salt
+from mailstream.operators.lookup import hot_keys, join_isp, join_lists, lookup_table
 from mailstream.operators.rollup import rollup_all_columns, sum_counts
 
 
@@ -60,16 +60,47 @@ def test_small_tables_are_broadcast_and_large_ones_are_not(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
-def test_salted_join_spreads_copies_of_one_row(spark):
-    copies = spark.createDataFrame([("1",)] * 3200, "isp_id string").coalesce(1)
-    facts = with_salt(copies)
-    per_salt = facts.groupBy(SALT).count().collect()
-    assert {r[SALT] for r in per_salt} == set(range(32))
-    assert max(r["count"] for r in per_salt) < 200
-    assert facts.exceptAll(with_salt(copies)).isEmpty()
-    lookup = isp(spark, [(n, f"n{n}") for n in range(50)], broadcast_bytes=0)
-    joined = join_isp(facts, lookup).groupBy("domain_name").count().collect()
-    assert [tuple(r) for r in joined] == [("n1", 3200)]
+def test_only_hot_keys_are_salted_and_their_table_rows_repeated(spark):
+    """One key holds a third of the rows, the table is large, execution is not adaptive."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.enabled": "false",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        key = F.when(F.col("id") % 3 == 0, "7").otherwise((F.col("id") % 1000).cast("string"))
+        facts = spark.range(0, 60000, 1, 8).select(key.alias("isp_id"), "id")
+        lookup = isp(spark, [(n, f"n{n}") for n in range(1000)], broadcast_bytes=0)
+        hot = hot_keys(facts, {"isp_id": F.col("isp_id")}, 16)
+        assert set(hot["isp_id"]) == {"7"} and 5 <= hot["isp_id"]["7"] <= 7
+
+        def largest(joined):
+            sizes = [r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
+            assert sum(sizes) == 60000
+            return max(sizes)
+
+        salted, plain = join_isp(facts, lookup, hot), join_isp(facts, lookup)
+        assert largest(plain) > 20000 and largest(salted) < 14000
+        text = plan(salted)
+        assert "SortMergeJoin" in text and "create_map" not in text.lower().replace("keys: [7]", "")
+        rows = {r["id"]: r["domain_name"] for r in salted.collect()}
+        assert rows == {r["id"]: f"n{r['isp_id']}" for r in facts.collect()}
+        counted = salted._jdf.queryExecution().optimizedPlan().toString()
+        assert "Generate explode" in counted
+    finally:
+        for name in settings:
+            spark.conf.unset(name)
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+
+
+def test_no_key_is_hot(spark):
+    rows = spark.range(1000).select((F.col("id") % 100).alias("k"), F.lit(None).cast("int").alias("none"))
+    keys = {"k": F.col("k"), "none": F.col("none")}
+    assert hot_keys(rows, keys, 16) == {"k": {}, "none": {}}
+    assert hot_keys(rows.limit(0), keys, 16) == {"k": {}, "none": {}}
+    assert hot_keys(rows, {}, 16) == {}
 
 
 def test_hot_key_is_split_at_run_time(spark):

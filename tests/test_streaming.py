@@ -114,7 +114,9 @@ def test_actions_stream_equals_batch(spark, tmp_path, limit):
     options = {} if limit is None else {"broadcast_bytes": limit}
     isp = lookup_table(fx.isp_table(spark, SMALL), **options)
     lists = lookup_table(fx.list_table(spark, SMALL), **options)
-    blocks = geo_blocks(fx.nation_blocks(spark, SMALL), **options)
+    blocks = geo_blocks(
+        fx.nation_blocks(spark, SMALL), blocks6=fx.nation_blocks6(spark, SMALL), **options
+    )
     for topic in fx.ACTION_EVENTS:
         stage(spark, topic, str(tmp_path / topic), 3)
     streams = [(t, file_source(spark, str(tmp_path / t), 1)) for t in fx.ACTION_EVENTS]
