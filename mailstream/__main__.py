@@ -33,6 +33,8 @@ from mailstream.sources.jdbc import (
     mysql_url,
 )
 from mailstream.sources.kafka import ACTION_TOPICS, LOG_TOPICS, kafka_source
+from mailstream.sources.versions import followed_blocks, followed_lookup
+from mailstream.streaming.increments import start_action_counts, start_log_batches
 from mailstream.streaming.jobs import (
     await_queries,
     start_actions,
@@ -58,6 +60,14 @@ def parser() -> argparse.ArgumentParser:
     options.add_argument("--database-port", type=int, default=3306)
     options.add_argument("--report", help="folder of the result table instead of the database")
     options.add_argument("--archive", help="folder of the CSV archive (logs)")
+    options.add_argument(
+        "--micro-batches", action="store_true",
+        help="add up counts of micro-batches in --report, without state; actions then follow "
+        "--lookup-versions, logs read each topic once",
+    )
+    options.add_argument(
+        "--lookup-versions", help="folder of isp_domains, lists and blocks versions (actions)"
+    )
     options.add_argument("--networks", help="CSV of CIDR networks (actions)")
     options.add_argument("--places", help="CSV of the networks' countries (actions)")
     options.add_argument("--click-label", default="click", help="label of click rows (actions)")
@@ -107,12 +117,40 @@ def _writer(args: argparse.Namespace, table: str, schema: StructType) -> BatchWr
     return jdbc_writer(_database(args, RESULT_DATABASE), table)
 
 
+def _action_topics(spark: SparkSession, args: argparse.Namespace) -> list[tuple[str, DataFrame]]:
+    labels = {"open": "open", "click": args.click_label, "unsub": args.unsub_label}
+    return [(labels[name], _topic(spark, args, ACTION_TOPICS[name])) for name in labels]
+
+
+def _start_batches(
+    spark: SparkSession, args: argparse.Namespace, trigger: Trigger
+) -> list[StreamingQuery]:
+    """The jobs that keep no state: counts of micro-batches, added up by the report."""
+    table = SnapshotTable(args.report, JOBS[args.job][1], adds=True)
+    if args.job == "logs":
+        bounces, deliveries = (_topic(spark, args, topic) for topic in LOG_TOPICS.values())
+        return start_log_batches(
+            bounces, deliveries, table, args.archive, args.checkpoint, trigger
+        )
+    versions = args.lookup_versions
+    return start_action_counts(
+        _action_topics(spark, args),
+        followed_lookup(f"{versions}/{ISP_TABLE}"),
+        followed_lookup(f"{versions}/{LIST_TABLE}"),
+        followed_blocks(f"{versions}/blocks"),
+        table,
+        args.checkpoint,
+        trigger,
+    )
+
+
 def start(spark: SparkSession, args: argparse.Namespace) -> list[StreamingQuery]:
     trigger = Trigger(args.every, args.once)
+    if args.micro_batches:
+        return _start_batches(spark, args, trigger)
     write = _writer(args, *JOBS[args.job])
     if args.job == "actions":
-        labels = {"open": "open", "click": args.click_label, "unsub": args.unsub_label}
-        topics = [(labels[name], _topic(spark, args, ACTION_TOPICS[name])) for name in labels]
+        topics = _action_topics(spark, args)
         networks = read_geo_blocks(spark, args.networks, args.places)
         networks6 = read_geo_blocks6(spark, args.networks, args.places)
         return start_actions(
@@ -138,6 +176,13 @@ def start(spark: SparkSession, args: argparse.Namespace) -> list[StreamingQuery]
 
 
 def check(options: argparse.ArgumentParser, args: argparse.Namespace) -> None:
+    if args.micro_batches:
+        if not args.report or args.job == "user-agents":
+            options.error("--micro-batches needs --report, and actions or logs")
+        if args.job == "actions":
+            if not args.lookup_versions:
+                options.error("actions with --micro-batches needs --lookup-versions")
+            return
     if args.job == "actions" and not (args.networks and args.places):
         options.error("actions needs --networks and --places")
     if args.job == "logs" and not args.archive:

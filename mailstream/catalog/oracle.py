@@ -175,6 +175,12 @@ ORACLE_SQL: dict[str, str] = {
     "logs_backfill": f"{_LOGS}, {_LOG_ROWS} select * from rows",
     "user_agent_rollup": _AGENT_ROLLUP,
     "stream_actions_rollup": _ACTIONS_ROLLUP,
+    "stream_logs_batches": _LOGS_ROLLUP,
+    "logs_archive_batches": f"{_LOGS}, {_LOG_ROWS} select * from rows",
+    "stream_actions_versioned": _ACTIONS_ROLLUP,
+    "stream_logs_closed_days": f"""{_LOGS}, {_LOG_ROWS}, last as (select max(date) as day from rows)
+      select rows.*, count(*) as total_count from rows join last on rows.date <= last.day - 2
+      group by all""",
     "stream_logs_rollup": _LOGS_ROLLUP,
     "stream_logs_compacted": _LOGS_ROLLUP,
     "stream_user_agent_rollup": _AGENT_ROLLUP,

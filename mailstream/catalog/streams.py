@@ -9,6 +9,7 @@ from __future__ import annotations
 from math import ceil
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from mailstream.catalog import fixtures as fx
 from mailstream.catalog.batch import blocks, isp_domains, lists, q_logs_rollup, q_union_logs
@@ -21,9 +22,19 @@ from mailstream.plans.schemas import (
 )
 from mailstream.session import shared_folder
 from mailstream.sources.files import file_source
+from mailstream.sources.versions import (
+    followed_blocks,
+    followed_lookup,
+    publish_blocks,
+    publish_version,
+)
+from mailstream.streaming.archive import read_archive
+from mailstream.streaming.increments import start_action_counts, start_log_batches
 from mailstream.streaming.jobs import (
     await_queries,
     start_actions,
+    start_closed_log_days,
+    start_log_archives,
     start_logs,
     start_user_agents,
 )
@@ -48,6 +59,56 @@ def _topic_stream(spark: SparkSession, sf_dir: str, topic: str, folder: str) ->
     return file_source(spark, path, max_files_per_trigger=ceil(files / MICRO_BATCHES))
 
 
+def _topic_by_day(spark: SparkSession, sf_dir: str, topic: str, folder: str) -> DataFrame:
+    """A topic as message files, a micro-batch for each third of the month, in that order."""
+    path = f"{folder}/topics/{topic}"
+    lines = fx.topic_lines(spark, sf_dir, topic)
+    events = spark.read.parquet(f"{sf_dir}/events.parquet").select("event_id", "ts")
+    dated = lines.join(events, "event_id")
+    third = F.least(F.lit(MICRO_BATCHES - 1), F.floor((F.dayofmonth("ts") - 1) / 10))
+    for part in range(MICRO_BATCHES):
+        rows = dated.where(third == part).select("value")
+        rows.coalesce(1).write.mode("append").parquet(path)
+    return file_source(spark, path, max_files_per_trigger=1)
+
+
+def q_stream_logs_closed_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts of the days that are closed when the topics end; their state is gone."""
+    folder = shared_folder(spark, "closed")
+    table = SnapshotTable(f"{folder}/report", LOGS_REPORT)
+    queries = start_closed_log_days(
+        _topic_by_day(spark, sf_dir, "bounce", folder),
+        _topic_by_day(spark, sf_dir, "delivered", folder),
+        snapshot_writer(table),
+        f"{folder}/checkpoints",
+        trigger=ALL_NOW,
+    )
+    await_queries(queries)
+    return read_snapshot(spark, table)
+
+
+def q_stream_actions_versioned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same report from micro-batches that follow versions of the lookup tables."""
+    folder = shared_folder(spark, "versioned")
+    table = SnapshotTable(f"{folder}/report", ACTIONS_REPORT, adds=True)
+    publish_version(fx.isp_table(spark, sf_dir), f"{folder}/isp")
+    publish_version(fx.list_table(spark, sf_dir), f"{folder}/lists")
+    publish_blocks(
+        fx.nation_blocks(spark, sf_dir), f"{folder}/blocks", fx.nation_blocks6(spark, sf_dir)
+    )
+    queries = start_action_counts(
+        [(topic, _topic_stream(spark, sf_dir, topic, folder)) for topic in fx.ACTION_EVENTS],
+        followed_lookup(f"{folder}/isp"),
+        followed_lookup(f"{folder}/lists"),
+        followed_blocks(f"{folder}/blocks"),
+        table,
+        f"{folder}/checkpoints",
+        ALL_NOW,
+    )
+    await_queries(queries)
+    return read_snapshot(spark, table)
+
+
 def q_stream_actions_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = shared_folder(spark, "actions")
     table = SnapshotTable(f"{folder}/report", ACTIONS_REPORT)
@@ -110,12 +171,11 @@ def q_stream_user_agent_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_logs_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Both folders that the streams of the job fill, read back."""
+    """Both folders that the archive streams fill, read back."""
     folder = shared_folder(spark, "archive")
-    queries = start_logs(
+    queries = start_log_archives(
         _topic_stream(spark, sf_dir, "bounce", folder),
         _topic_stream(spark, sf_dir, "delivered", folder),
-        snapshot_writer(SnapshotTable(f"{folder}/report", LOGS_REPORT)),
         f"{folder}/archive",
         f"{folder}/checkpoints",
         ALL_NOW,
@@ -128,6 +188,39 @@ def q_logs_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     return union_rows(bounced, delivered)
 
 
+def _log_batches(spark: SparkSession, sf_dir: str, folder: str) -> SnapshotTable:
+    table = SnapshotTable(f"{folder}/report", LOGS_REPORT, adds=True)
+    queries = start_log_batches(
+        _topic_stream(spark, sf_dir, "bounce", folder),
+        _topic_stream(spark, sf_dir, "delivered", folder),
+        table,
+        f"{folder}/archive",
+        f"{folder}/checkpoints",
+        ALL_NOW,
+        compact_every=2,
+    )
+    await_queries(queries)
+    return table
+
+
+def q_stream_logs_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The report of both topics from micro-batches that archive and count at once."""
+    folder = shared_folder(spark, "batches")
+    return read_snapshot(spark, _log_batches(spark, sf_dir, folder))
+
+
+def q_logs_archive_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The archive of the same job."""
+    folder = shared_folder(spark, "batches")
+    _log_batches(spark, sf_dir, folder)
+    return union_rows(
+        *(
+            read_archive(spark, f"{folder}/archive/{name}", LOG_ARCHIVE)
+            for name in ("bounced", "delivered")
+        )
+    )
+
+
 def q_logs_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same rows, written by a batch that is run twice."""
     path = f"{shared_folder(spark, 'backfill')}/logs"

@@ -265,7 +265,8 @@ def rules_from_json(path: str) -> tuple[tuple[Rule, ...], tuple[Rule, ...]]:
 
 def rule_struct(key: Column, rules: Sequence[Rule]) -> Column:
     """All values of the rule with this key as a struct, NULL without a text."""
-    values = {_key(rule): asdict(rule) for rule in rules}
+    # Of rules with the same word and variant the first one counts.
+    values = {_key(rule): asdict(rule) for rule in reversed(rules)}
     return F.try_element_at(_map(values, RULE_TYPE), key)
 
 

@@ -11,7 +11,7 @@ from mailstream.functions.agents import BROWSERS, SYSTEMS, Rule
 from mailstream.operators.decode import decode_bounces, decode_deliveries
 from mailstream.operators.geo import GeoBlocks
 from mailstream.operators.lookup import Lookup
-from mailstream.operators.rollup import rollup_all_columns, union_rows
+from mailstream.operators.rollup import closed_days_rollup, rollup_all_columns, union_rows
 from mailstream.plans.actions import actions_rollup
 from mailstream.plans.user_agents import user_agent_rollup
 from mailstream.streaming.sinks import (
@@ -37,6 +37,21 @@ def start_actions(
     return [start_upsert(counts, write, f"{checkpoint}/actions", trigger)]
 
 
+def start_log_archives(
+    bounces: DataFrame,
+    deliveries: DataFrame,
+    archive: str,
+    checkpoint: str,
+    trigger: Trigger = Trigger(),
+) -> list[StreamingQuery]:
+    """An archive of the rows of each topic."""
+    rows = {"bounced": decode_bounces(bounces), "delivered": decode_deliveries(deliveries)}
+    return [
+        start_csv_archive(part, f"{archive}/{name}", f"{checkpoint}/{name}", trigger)
+        for name, part in rows.items()
+    ]
+
+
 def start_logs(
     bounces: DataFrame,
     deliveries: DataFrame,
@@ -47,18 +62,35 @@ def start_logs(
 ) -> list[StreamingQuery]:
     """Running counts of both topics, and an archive of the rows of each.
 
-    Three queries with a checkpoint each; each topic is read twice, once per query
-    that uses it.
+    Three queries with a checkpoint each; each topic is read twice, once per query that uses
+    it, as state can only be kept by a query of its own.  `start_log_batches` reads it once.
     """
-    bounced, delivered = decode_bounces(bounces), decode_deliveries(deliveries)
-    counts = rollup_all_columns(union_rows(bounced, delivered))
+    counts = rollup_all_columns(union_rows(decode_bounces(bounces), decode_deliveries(deliveries)))
     return [
-        start_csv_archive(bounced, f"{archive}/bounced", f"{checkpoint}/bounced", trigger),
-        start_csv_archive(delivered, f"{archive}/delivered", f"{checkpoint}/delivered", trigger),
+        *start_log_archives(bounces, deliveries, archive, checkpoint, trigger),
         start_upsert(counts, write, f"{checkpoint}/counts", trigger),
     ]
 
 
+def start_closed_log_days(
+    bounces: DataFrame,
+    deliveries: DataFrame,
+    write: BatchWriter,
+    checkpoint: str,
+    delay: str = "1 day",
+    trigger: Trigger = Trigger(),
+) -> list[StreamingQuery]:
+    """Counts of both topics for days that are closed; an optional extra.
+
+    The running counts of `start_logs` never give up a key.  Here state ends with its day, at
+    the price that rows which come later than `delay` after their day are left out, as are
+    rows without a date; the archive has them all.
+    """
+    rows = union_rows(decode_bounces(bounces), decode_deliveries(deliveries))
+    counts = closed_days_rollup(rows, delay)
+    return [start_upsert(counts, write, f"{checkpoint}/closed_days", trigger, mode="append")]
+
+
 def start_user_agents(
     lines: DataFrame,
     isp_domains: Lookup,

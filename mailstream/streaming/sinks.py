@@ -60,11 +60,18 @@ def jdbc_writer(target: JdbcTarget, table: str, connections: int = 16) -> BatchW
 
 
 def start_upsert(
-    rollup: DataFrame, write: BatchWriter, checkpoint: str, trigger: Trigger = Trigger()
+    rollup: DataFrame,
+    write: BatchWriter,
+    checkpoint: str,
+    trigger: Trigger = Trigger(),
+    mode: str = "update",
 ) -> StreamingQuery:
-    """Hand the keys each micro-batch changed, with running totals, to `write`."""
+    """Hand the keys each micro-batch changed, with running totals, to `write`.
+
+    In append mode each key comes once, when its day is closed.
+    """
     writer = (
-        rollup.writeStream.outputMode("update")
+        rollup.writeStream.outputMode(mode)
         .option("checkpointLocation", checkpoint)
         .foreachBatch(write)
     )
@@ -83,7 +90,7 @@ ESCAPES = (("\\", "\\\\"), ("\n", "\\n"), ("\r", "\\r"), ("\u0001", "\\x01"))
 BACKFILL = "backfill"
 
 
-def _one_line(rows: DataFrame) -> DataFrame:
+def one_line(rows: DataFrame) -> DataFrame:
     """Text values without line breaks; `date`, which names folders, is left alone."""
     texts = [n for n, kind in rows.dtypes if kind == "string" and n != "date"]
     escaped = {}
@@ -95,8 +102,8 @@ def _one_line(rows: DataFrame) -> DataFrame:
     return rows.withColumns(escaped) if escaped else rows
 
 
-def _as_before(rows: DataFrame) -> DataFrame:
-    """Undo `_one_line`.
+def as_before(rows: DataFrame) -> DataFrame:
+    """Undo `one_line`.
 
     Doubled backslashes are set aside as a character that values no longer hold.
     """
@@ -120,7 +127,7 @@ def start_csv_archive(
 ) -> StreamingQuery:
     """Append rows to CSV files without header, one folder per date."""
     writer = (
-        _one_line(rows)
+        one_line(rows)
         .writeStream.outputMode("append")
         .format("csv")
         .options(**CSV_OPTIONS)
@@ -146,20 +153,23 @@ def write_csv_archive(rows: DataFrame, path: str, run: str = "0") -> None:
     Rows are gathered by date to avoid one file per task and date; adaptive
     execution splits a date that is larger than a file should be.
     """
-    gathered = _one_line(rows).hint("rebalance", "date")
+    gathered = one_line(rows).hint("rebalance", "date")
     writer = gathered.write.mode("overwrite").options(**CSV_OPTIONS).partitionBy("date")
     writer.csv(f"{path}_{BACKFILL}/run={run}")
 
 
+def stored_schema(schema: StructType) -> StructType:
+    """Columns as files have them: the folder column goes last."""
+    return StructType([field for field in schema if field.name != "date"] + [schema["date"]])
+
+
 def read_csv_archive(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """Read an archive back, backfills included; a filter on `date` reads those folders.
 
-    The files hold the other columns in order, so the folder column goes last.  A
-    NULL was written as nothing and an empty text as quotes; a null marker that
+    A NULL was written as nothing and an empty text as quotes; a null marker that
     occurs in neither keeps them apart.
     """
-    stored = StructType([field for field in schema if field.name != "date"] + [schema["date"]])
-    reader = spark.read.schema(stored).options(**CSV_OPTIONS).option("nullValue", "\u0001")
+    reader = spark.read.schema(stored_schema(schema)).options(**CSV_OPTIONS).option("nullValue", "\u0001")
     folders = [f for f in (path, f"{path}_{BACKFILL}") if _exists(spark, f)]
     parts = [reader.csv(folder).select(*schema.names) for folder in folders]
     if not parts:
@@ -167,7 +177,16 @@ def read_csv_archive(spark: SparkSession, path: str, schema: StructType) -> Data
     rows = parts[0]
     for part in parts[1:]:
         rows = rows.unionByName(part)
-    return _as_before(rows)
+    return as_before(rows)
+
+
+def late_rows(query: StreamingQuery) -> int:
+    """Rows that a query left out because their day was closed, as far as it remembers."""
+    return sum(
+        operator["numRowsDroppedByWatermark"]
+        for progress in query.recentProgress
+        for operator in progress["stateOperators"]
+    )
 
 
 def start_console(

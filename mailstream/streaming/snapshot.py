@@ -10,6 +10,8 @@ table as it was.
 
 from __future__ import annotations
 
+import json
+from collections.abc import Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -30,12 +32,14 @@ class SnapshotTable:
     """Where the table lies and its columns; all but the total are its key.
 
     The compacted part is partitioned by `partition_by`, a key column with few
-    values, so a report on a few days reads only those.
+    values, so a report on a few days reads only those.  The totals of a key replace
+    each other, or add up if the table `adds`.
     """
 
     path: str
     schema: StructType
     partition_by: str = "date"
+    adds: bool = False
 
     @property
     def keys(self) -> list[str]:
@@ -69,14 +73,35 @@ def _claim(spark: SparkSession, table: SnapshotTable, query_id: str) -> None:
         files.create(mark, True).close()
 
 
-def publish(batch: DataFrame, batch_id: int, table: SnapshotTable) -> None:
-    """Add the rows that a micro-batch changed; does nothing when it is a replay."""
+def is_published(spark: SparkSession, table: SnapshotTable, batch_id: int) -> bool:
+    """Whether the table holds a micro-batch, in its changes or its newest base."""
+    bases = _published(spark, f"{table.path}/base")
+    folded = bool(bases) and batch_id <= bases[-1]
+    return folded or batch_id in _published(spark, f"{table.path}/changes")
+
+
+def publish(
+    batch: DataFrame,
+    batch_id: int,
+    table: SnapshotTable,
+    versions: Mapping[str, int] | None = None,
+) -> None:
+    """Add the rows that a micro-batch changed; does nothing when it is a replay.
+
+    `versions` names the versions of the lookup tables that the rows were made with.
+    """
     spark = batch.sparkSession
     query_id = spark.sparkContext.getLocalProperty(QUERY_ID)
     if query_id is not None:
         _claim(spark, table, query_id)
-    if batch_id in _published(spark, f"{table.path}/changes"):
+    if is_published(spark, table, batch_id):
         return
+    if versions is not None:
+        # Written first: versions without a published batch are those of a failed attempt.
+        path, files = _file_system(spark, f"{table.path}/versions/batch={batch_id}.json")
+        stream = files.create(path, True)
+        stream.write(bytearray(json.dumps({BATCH: batch_id, **versions}), "utf-8"))
+        stream.close()
     rows = batch.select(*table.schema.names).persist()
     try:
         files = max(1, -(-rows.count() // ROWS_PER_FILE))
@@ -86,6 +111,16 @@ def publish(batch: DataFrame, batch_id: int, table: SnapshotTable) -> None:
         rows.unpersist()
 
 
+def batch_versions(spark: SparkSession, table: SnapshotTable) -> DataFrame:
+    """A row for each published micro-batch that named versions: batch and those versions."""
+    named = spark.read.json(f"{table.path}/versions")
+    bases = _published(spark, f"{table.path}/base")
+    # One number for each published batch that no base holds yet.
+    pending = [n for n in _published(spark, f"{table.path}/changes") if not bases or n > bases[-1]]
+    folded = F.lit(False) if not bases else F.col(BATCH) <= bases[-1]
+    return named.where(folded | F.col(BATCH).isin(pending))
+
+
 def _read(spark: SparkSession, table: SnapshotTable, kind: str, batches: list[int]) -> DataFrame:
     """Rows of some batch folders, with the number of their batch."""
     schema = StructType([*table.schema.fields, StructField(BATCH, LongType())])
@@ -99,8 +134,8 @@ def _read(spark: SparkSession, table: SnapshotTable, kind: str, batches: list[in
 
 
 def _newest(rows: DataFrame, table: SnapshotTable) -> DataFrame:
-    latest = F.max_by(TOTAL, BATCH).alias(TOTAL)
-    return rows.groupBy(*table.keys).agg(latest).select(*table.schema.names)
+    total = F.sum(TOTAL) if table.adds else F.max_by(TOTAL, BATCH)
+    return rows.groupBy(*table.keys).agg(total.alias(TOTAL)).select(*table.schema.names)
 
 
 def _pending(spark: SparkSession, table: SnapshotTable, bases: list[int]) -> list[int]:

@@ -88,3 +88,13 @@ def test_rules_from_a_file(spark, tmp_path):
     row = parse_user_agent(rows, browsers=browsers, systems=systems).first()["user_agent"]
     assert (row.browser_family, row.browser_version, row.device_family) == ("Mail Reader", "3.2", "Kiosk")
     assert systems == SYSTEMS
+
+
+def test_a_rule_of_a_file_beats_a_built_in_one(spark, tmp_path):
+    path = tmp_path / "rules.json"
+    path.write_text('{"browsers": [{"word": "Chrome", "family": "MyBrowser", "anchor": "Chrome/", "kind": "pc"}]}')
+    browsers, systems = rules_from_json(str(path))
+    text = "Mozilla/5.0 (Windows NT 10.0; Win64; x64) AppleWebKit/537.36 (KHTML, like Gecko) Chrome/120.0.1.2 Safari/537.36"
+    rows = spark.createDataFrame([(text,)], "http_user_agent string")
+    found = struct_expand(parse_user_agent(rows, browsers=browsers, systems=systems)).first()
+    assert found["browser_family"] == "MyBrowser"

@@ -7,6 +7,7 @@ from mailstream.catalog import fixtures as fx
 from mailstream.catalog import ORACLE_SQL
 from mailstream.plans.schemas import ACTIONS_REPORT, LOGS_REPORT, USER_AGENT_REPORT
 from mailstream.sources.files import file_source
+from mailstream.sources.versions import publish_blocks, publish_version
 from mailstream.streaming.jobs import await_queries
 from mailstream.streaming.snapshot import SnapshotTable, read_snapshot
 from compare import assert_same
@@ -80,3 +81,27 @@ def test_missing_options(job, capsys):
     with pytest.raises(SystemExit):
         cli.check(options, options.parse_args([job, "--kafka", "h:1", "--checkpoint", "c"]))
     assert "needs" in capsys.readouterr().err
+
+
+@pytest.mark.parametrize(
+    ("job", "query"), [("actions", "actions_rollup"), ("logs", "logs_rollup")]
+)
+def test_jobs_without_state(spark, wired, job, query):
+    versions = str(wired / "versions")
+    options = ["--archive", str(wired / "archive")]
+    if job == "actions":
+        options = ["--lookup-versions", versions]
+        publish_version(fx.isp_table(spark, SMALL), f"{versions}/isp_domains")
+        publish_version(fx.list_table(spark, SMALL), f"{versions}/lists")
+        publish_blocks(fx.nation_blocks(spark, SMALL), f"{versions}/blocks", fx.nation_blocks6(spark, SMALL))
+    run(spark, wired, job, "--micro-batches", *options)
+    table = SnapshotTable(str(wired / "report"), cli.JOBS[job][1], adds=True)
+    assert_same(read_snapshot(spark, table), ORACLE_SQL[query], SMALL)
+
+
+def test_micro_batches_need_a_report_and_versions(capsys):
+    options = cli.parser()
+    for more in (["--report", "r"], []):
+        with pytest.raises(SystemExit):
+            cli.check(options, options.parse_args(["actions", "--kafka", "h:1", "--checkpoint", "c", "--micro-batches", *more]))
+        assert "needs" in capsys.readouterr().err
