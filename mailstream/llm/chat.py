@@ -166,7 +166,12 @@ class _Reader:
 
 
 def read_chats(segments: DataFrame, template: Template = Template()) -> DataFrame:
-    """Counts and digests of each conversation, read back from `format_chats` output."""
+    """Counts and digests of each conversation, read back from `format_chats` output.
+
+    Segments may come in any order; their numbers put them back in their place.
+    """
+    order = "conv_id", "turn_no", "segment_no"
+    segments = segments.repartition("conv_id").sortWithinPartitions(*order)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         names = [part.split()[0] for part in DIGESTS.split(", ")]

@@ -5,8 +5,9 @@ square-rooted and scaled to length one.  Languages whose mean vectors are alike
 family.  A linear support vector machine for each family against the others picks the
 family; within it, one for each pair of languages votes.
 
-Training reads labelled rows only (`rows_per_language`, spread by a hash of doc_id, is the
-documented bound); prediction reads nothing but the text, whole.
+Training reads labelled rows only: different texts, about `rows_per_language` of them for
+each language, chosen by a hash of the text; that is the documented bound, whatever rows
+repeat or lack a doc_id.  Prediction reads nothing but the text, whole.
 
 Text that is null, empty or has no letter gets `und` and score 0.  Rows with null language
 are not learned from.  Without labelled rows every text is `und`.  One learned language is
@@ -157,17 +158,19 @@ def fit_languages(
     labelled: DataFrame, rows_per_language: int = ROWS_PER_LANGUAGE
 ) -> LanguageModel:
     """A model from (doc_id, text, lang) rows, of which about `rows_per_language` are read."""
-    labelled = labelled.select("doc_id", "text", "lang").where(
+    labelled = labelled.select("text", "lang").where(
         F.col("lang").isNotNull() & F.col("text").isNotNull()
     )
     # One row for each language; the model keeps as many.
-    counts = {row["lang"]: row["count"] for row in labelled.groupBy("lang").count().collect()}
-    spot = F.pmod(F.xxhash64("doc_id", F.lit("language")), F.lit(1 << 30)) / float(1 << 30)
+    texts = F.approx_count_distinct(F.xxhash64("text")).alias("texts")
+    counts = {row["lang"]: row["texts"] for row in labelled.groupBy("lang").agg(texts).collect()}
+    spot = F.pmod(F.xxhash64("text", F.lit("language")), F.lit(1 << 30)) / float(1 << 30)
     chosen = labelled.where(F.lit(False))
     if counts:
-        shares = [(F.lit(n), F.lit(rows_per_language / c)) for n, c in counts.items()]
+        shares = [(F.lit(n), F.lit(rows_per_language / max(c, 1))) for n, c in counts.items()]
         share = F.create_map(*[x for pair in shares for x in pair])
         chosen = labelled.where(spot < F.try_element_at(share, F.col("lang")))
+    chosen = chosen.dropDuplicates()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

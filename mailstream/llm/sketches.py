@@ -34,9 +34,14 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+def limit_of(fraction: float) -> Column:
+    """Hashes below it are kept."""
+    return F.lit(min(int(fraction * 2.0**63), (1 << 63) - 1))
+
+
 def sketch(text: Column, fraction: float = FRACTION) -> Column:
     """Ascending distinct hashes below the fraction, as array<long>."""
-    limit = F.lit(min(int(fraction * 2.0**63), (1 << 63) - 1))
+    limit = limit_of(fraction)
 
     def shingles(words: Column) -> Column:
         last = F.greatest(F.size(words) - SHINGLE_WORDS, F.lit(0))
@@ -64,9 +69,15 @@ def fingerprint(sketch_: Column) -> Column:
     return F.array_join(F.transform(sketch_, lambda h: F.lpad(F.hex(h), 16, "0")), "")
 
 
-def merge(a: Column, b: Column) -> Column:
-    """The sketch of two texts taken together."""
-    return F.array_sort(F.array_union(a, b))
+def merge(a: Column, b: Column, fraction: float = FRACTION) -> Column:
+    """The sketch of two texts taken together, both sketched with this fraction.
+
+    The hash that stands for a text without one below the limit counts only as long as the
+    whole has none either.
+    """
+    below = F.filter(F.array_union(a, b), lambda h: h < limit_of(fraction))
+    least = F.array_compact(F.array(F.least(F.array_min(a), F.array_min(b))))
+    return F.array_sort(F.when(F.size(below) > 0, below).otherwise(least))
 
 
 def likeness(a: Column, b: Column) -> Column:

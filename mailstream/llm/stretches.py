@@ -9,6 +9,7 @@ look at few symbols without missing any.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 from typing import NamedTuple
 
@@ -127,7 +128,19 @@ def word_spans(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.flatnonzero(change == 1), np.flatnonzero(change == -1)
 
 
+#: Bytes of a word from which on it is hashed by itself.
+LONG_WORD = 64
+
+
 def word_hashes(data: np.ndarray) -> np.ndarray:
-    """A hash of each word of a text's bytes."""
+    """A hash of each word of a text's bytes.
+
+    Modulo 2**64, long words of two letters that are unlike everywhere can agree in a
+    polynomial whatever its base (from 1,024 letters on), so long words get a digest.
+    """
     starts, ends = word_spans(data)
-    return span_hashes(BYTE_SYMBOLS[data], starts, ends)
+    hashes = span_hashes(BYTE_SYMBOLS[data], starts, ends)
+    for at in np.flatnonzero(ends - starts > LONG_WORD):
+        word = data[starts[at] : ends[at]].tobytes()
+        hashes[at] = int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
+    return hashes

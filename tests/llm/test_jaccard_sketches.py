@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from mailstream.llm import jaccard, sketches
+from mailstream.llm.bruijn import remove_repeated_words
 from mailstream.llm.common import components
 from mailstream.llm.jaccard import allocation, band_edges, jaccard_components, shingle_set
 
@@ -145,3 +146,35 @@ def test_sketches_merge_and_contain(spark):
         sketches.likeness(s["a"], s["c"]).alias("apart"),
     ).first()
     assert 800 < row["n"] < 1200 and row["inside"] == 1.0 and row["same"] and row["apart"] == 0.0
+
+
+def test_merging_short_and_long_texts_gives_the_sketch_of_both(spark):
+    """At the shipped fraction most short texts have no hash below the limit."""
+    pairs = [(n, m) for n in range(0, 11) for m in (0, 5, 7, 60)]
+    words = [f"m{i}" for i in range(2000)]
+    rows = []
+    for at, (n, m) in enumerate(pairs):
+        a, b = words[40 * at : 40 * at + n], words[40 * at + 100 : 40 * at + 100 + m]
+        rows.append((" ".join(a), " ".join(b)))
+    frame = spark.createDataFrame(rows, "a string, b string")
+    every = frame.select(
+        *(sketches.sketch(F.col(n)).alias(f"s{n}") for n in "ab"),
+        *(sketches.sketch(F.col(n), 1.0).alias(f"all_{n}") for n in "ab"),
+    )
+    limit = int(sketches.FRACTION * 2.0**63)
+    for row in every.select("*", sketches.merge(F.col("sa"), F.col("sb")).alias("both")).collect():
+        hashes = sorted({*row["all_a"], *row["all_b"]})
+        below = [h for h in hashes if h < limit]
+        assert row["both"] == (below or hashes[:1])
+
+
+def test_long_words_that_are_unlike_everywhere_are_different(spark):
+    """Two words of two letters whose polynomials modulo 2**64 agree for any base."""
+    one = "".join("ab"[bin(i).count("1") & 1] for i in range(1024))
+    other = one.translate(str.maketrans("ab", "ba"))
+    docs = spark.createDataFrame([(1, one), (2, other), (3, f"{other}\n")], "doc_id long, text string")
+    found = {r["doc_id"]: r["component_id"] for r in jaccard_components(docs).collect()}
+    assert found == {1: 1, 2: 2, 3: 2}
+    words = " ".join(f"w{i}" for i in range(34))
+    docs = spark.createDataFrame([(1, f"{words} {one}"), (2, f"{words} {other}")], "doc_id long, text string")
+    assert {r["n_removed"] for r in remove_repeated_words(docs).collect()} == {0}

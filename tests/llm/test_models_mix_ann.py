@@ -140,6 +140,20 @@ def test_language(spark):
     assert {r["lang_pred"] for r in nothing} == {"und"}
 
 
+def test_training_rows_are_bounded_whatever_repeats(spark):
+    """Rows without doc_id, with one doc_id, and one text that is most of the rows."""
+    rng = random.Random(4)
+    texts = [(" ".join(rng.choice(WORDS[lang].split()) for _ in range(20)), lang) for lang in [*WORDS] * 100]
+    for ids in (lambda i: None, lambda i: 7):
+        rows = [(ids(i), text, lang) for i, (text, lang) in enumerate(texts)]
+        rows += [(ids(0), "the and of", "en")] * 3000
+        train = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+        model = fit_languages(train, 20)
+        docs = spark.createDataFrame([(i, text, lang) for i, (text, lang) in enumerate(texts)], "i long, text string, lang string")
+        found = predict_languages(docs, model, docs["i"], docs["lang"]).collect()
+        assert sum(r["lang"] == r["lang_pred"] for r in found) >= 0.95 * len(texts)
+
+
 def test_quality(spark):
     rng = random.Random(5)
     rows, labels = [], []

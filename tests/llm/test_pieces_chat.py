@@ -100,6 +100,8 @@ def test_conversations(spark):
         mine = [(r[2], r[3]) for r in rows if r[0] == conv_id]
         assert (row["n_turns"], row["turns_sha256"], row["loss_chars"], row["loss_sha256"]) == digests(mine)
     assert {k: r["valid"] for k, r in found.items()} == {1: True, 2: False, 3: False, None: False, 4: False}
+    mixed = format_chats(turns).repartition(7, "text").sortWithinPartitions("text")
+    assert {r["conv_id"]: r for r in read_chats(mixed).collect()} == found
     assert read_chats(format_chats(turns.limit(0))).count() == 0
 
 
