@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from mailstream.functions.agents import BROWSERS, SYSTEMS, rules_from_json
+from mailstream.functions.agents import BROWSERS, SYSTEMS, Rule, rules_from_json
 from mailstream.operators.geo import geo_blocks
 from mailstream.operators.lookup import Lookup, lookup_table
 from mailstream.plans.schemas import ACTIONS_REPORT, LOGS_REPORT, USER_AGENT_REPORT
@@ -34,7 +34,12 @@ from mailstream.sources.jdbc import (
 )
 from mailstream.sources.kafka import ACTION_TOPICS, LOG_TOPICS, kafka_source
 from mailstream.sources.versions import followed_blocks, followed_lookup
-from mailstream.streaming.increments import start_action_counts, start_log_batches
+from mailstream.streaming.agent_texts import AgentTexts
+from mailstream.streaming.increments import (
+    start_action_counts,
+    start_agent_counts,
+    start_log_batches,
+)
 from mailstream.streaming.jobs import (
     await_queries,
     start_actions,
@@ -62,11 +67,15 @@ def parser() -> argparse.ArgumentParser:
     options.add_argument("--archive", help="folder of the CSV archive (logs)")
     options.add_argument(
         "--micro-batches", action="store_true",
-        help="add up counts of micro-batches in --report, without state; actions then follow "
-        "--lookup-versions, logs read each topic once",
+        help="add up counts of micro-batches in --report, without state; actions and "
+        "user-agents then follow --lookup-versions, logs read each topic once",
     )
     options.add_argument(
-        "--lookup-versions", help="folder of isp_domains, lists and blocks versions (actions)"
+        "--lookup-versions",
+        help="folder of isp_domains, lists and blocks versions (actions, user-agents)",
+    )
+    options.add_argument(
+        "--agent-texts", help="folder of the parsed user agents (user-agents, --micro-batches)"
     )
     options.add_argument("--networks", help="CSV of CIDR networks (actions)")
     options.add_argument("--places", help="CSV of the networks' countries (actions)")
@@ -122,6 +131,11 @@ def _action_topics(spark: SparkSession, args: argparse.Namespace) -> list[tuple[
     return [(labels[name], _topic(spark, args, ACTION_TOPICS[name])) for name in labels]
 
 
+def _rules(args: argparse.Namespace) -> tuple[Sequence[Rule], Sequence[Rule]]:
+    """Rules of browsers and of systems."""
+    return rules_from_json(args.agent_rules) if args.agent_rules else (BROWSERS, SYSTEMS)
+
+
 def _start_batches(
     spark: SparkSession, args: argparse.Namespace, trigger: Trigger
 ) -> list[StreamingQuery]:
@@ -133,6 +147,15 @@ def _start_batches(
             bounces, deliveries, table, args.archive, args.checkpoint, trigger
         )
     versions = args.lookup_versions
+    if args.job == "user-agents":
+        return start_agent_counts(
+            _topic(spark, args, args.topic),
+            followed_lookup(f"{versions}/{ISP_TABLE}"),
+            AgentTexts(args.agent_texts, *_rules(args)),
+            table,
+            args.checkpoint,
+            trigger,
+        )
     return start_action_counts(
         _action_topics(spark, args),
         followed_lookup(f"{versions}/{ISP_TABLE}"),
@@ -167,21 +190,23 @@ def start(spark: SparkSession, args: argparse.Namespace) -> list[StreamingQuery]
         return start_logs(bounces, deliveries, write, args.archive, args.checkpoint, trigger)
     lines = _topic(spark, args, args.topic)
     isp_domains = _lookup(spark, args, ISP_TABLE)
-    browsers, systems = BROWSERS, SYSTEMS
-    if args.agent_rules:
-        browsers, systems = rules_from_json(args.agent_rules)
     return start_user_agents(
-        lines, isp_domains, args.checkpoint, write, trigger, args.console, browsers, systems
+        lines, isp_domains, args.checkpoint, write, trigger, args.console, *_rules(args)
     )
 
 
 def check(options: argparse.ArgumentParser, args: argparse.Namespace) -> None:
     if args.micro_batches:
-        if not args.report or args.job == "user-agents":
-            options.error("--micro-batches needs --report, and actions or logs")
-        if args.job == "actions":
-            if not args.lookup_versions:
-                options.error("actions with --micro-batches needs --lookup-versions")
+        if not args.report:
+            options.error("--micro-batches needs --report")
+        if args.job != "logs" and not args.lookup_versions:
+            options.error(f"{args.job} with --micro-batches needs --lookup-versions")
+        if args.job == "user-agents":
+            if not args.agent_texts:
+                options.error("user-agents with --micro-batches needs --agent-texts")
+            if args.console:
+                options.error("--console needs a job with state")
+        if args.job != "logs":
             return
     if args.job == "actions" and not (args.networks and args.places):
         options.error("actions needs --networks and --places")

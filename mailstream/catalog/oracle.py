@@ -184,5 +184,6 @@ ORACLE_SQL: dict[str, str] = {
     "stream_logs_rollup": _LOGS_ROLLUP,
     "stream_logs_compacted": _LOGS_ROLLUP,
     "stream_user_agent_rollup": _AGENT_ROLLUP,
+    "stream_user_agent_texts": _AGENT_ROLLUP,
     "upsert_snapshot": _LOGS_ROLLUP,
 }

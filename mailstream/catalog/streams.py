@@ -28,8 +28,13 @@ from mailstream.sources.versions import (
     publish_blocks,
     publish_version,
 )
+from mailstream.streaming.agent_texts import AgentTexts
 from mailstream.streaming.archive import read_archive
-from mailstream.streaming.increments import start_action_counts, start_log_batches
+from mailstream.streaming.increments import (
+    start_action_counts,
+    start_agent_counts,
+    start_log_batches,
+)
 from mailstream.streaming.jobs import (
     await_queries,
     start_actions,
@@ -170,6 +175,23 @@ def q_stream_user_agent_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_snapshot(spark, table)
 
 
+def q_stream_user_agent_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same report from micro-batches that parse each text once and keep its fields."""
+    folder = shared_folder(spark, "agent-texts")
+    table = SnapshotTable(f"{folder}/report", USER_AGENT_REPORT, adds=True)
+    publish_version(fx.isp_table(spark, sf_dir), f"{folder}/isp")
+    queries = start_agent_counts(
+        _topic_stream(spark, sf_dir, "click", folder),
+        followed_lookup(f"{folder}/isp"),
+        AgentTexts(f"{folder}/texts"),
+        table,
+        f"{folder}/checkpoints",
+        ALL_NOW,
+    )
+    await_queries(queries)
+    return read_snapshot(spark, table)
+
+
 def q_logs_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Both folders that the archive streams fill, read back."""
     folder = shared_folder(spark, "archive")

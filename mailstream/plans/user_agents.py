@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from mailstream.functions.agents import BROWSERS, FIELDS, SYSTEMS, Rule
 from mailstream.operators.agents import parse_user_agent, struct_expand
 from mailstream.operators.decode import decode_actions
-from mailstream.operators.lookup import Lookup, join_isp
+from mailstream.operators.lookup import HotKeys, Lookup, join_isp
 from mailstream.operators.rollup import TOTAL, rollup_all_columns, sum_counts
 
 USER_AGENT_KEYS = ("job_id", "date", "domain_name", *FIELDS)
@@ -28,10 +28,16 @@ def enrich_agents(
     systems: Sequence[Rule] = SYSTEMS,
 ) -> DataFrame:
     """Provider names and parsed user agents; a total is kept."""
-    others = [name for name in rows.columns if name == TOTAL]
     agents = parse_user_agent(rows, browsers=browsers, systems=systems)
-    parsed = join_isp(struct_expand(agents), isp_domains)
-    return parsed.select(*USER_AGENT_KEYS, *others)
+    return name_providers(struct_expand(agents), isp_domains)
+
+
+def name_providers(
+    rows: DataFrame, isp_domains: Lookup, hot: HotKeys | None = None
+) -> DataFrame:
+    """The columns of the report from parsed rows; a total is kept."""
+    others = [name for name in rows.columns if name == TOTAL]
+    return join_isp(rows, isp_domains, hot).select(*USER_AGENT_KEYS, *others)
 
 
 def user_agent_rollup(

@@ -13,6 +13,8 @@ so on; so a day has at most `FANOUT` runs of each size, however many micro-batch
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
@@ -26,7 +28,7 @@ KEEP = 3
 Run = tuple[int, int]
 
 
-def _folder(path: str, run: Run) -> str:
+def run_folder(path: str, run: Run) -> str:
     return f"{path}/run={run[0]}-{run[1]}"
 
 
@@ -63,14 +65,14 @@ def live_runs(runs: list[Run]) -> list[Run]:
 def _write(rows: DataFrame, path: str, run: Run) -> None:
     """One file for each day, more for a day that is larger than a file should be."""
     writer = rows.hint("rebalance", "date").write.mode("overwrite").options(**CSV_OPTIONS)
-    writer.partitionBy("date").csv(_folder(path, run))
+    writer.partitionBy("date").csv(run_folder(path, run))
 
 
 def _read(spark: SparkSession, path: str, runs: list[Run], schema: StructType) -> DataFrame:
     """Rows of some runs as they were written."""
     reader = spark.read.schema(stored_schema(schema)).options(**CSV_OPTIONS)
     reader = reader.option("nullValue", "\u0001").option("basePath", path)
-    return reader.csv([_folder(path, run) for run in runs]).select(*schema.names)
+    return reader.csv([run_folder(path, run) for run in runs]).select(*schema.names)
 
 
 def archive_batch(rows: DataFrame, batch_id: int, path: str) -> None:
@@ -81,26 +83,39 @@ def archive_batch(rows: DataFrame, batch_id: int, path: str) -> None:
         _write(one_line(rows), path, run)
 
 
-def merge_runs(spark: SparkSession, batch_id: int, path: str, schema: StructType) -> None:
-    """Merge the newest runs when this micro-batch completes a group, and delete old parts."""
+def merge_due(
+    spark: SparkSession, batch_id: int, path: str, merge: Callable[[list[Run], Run], None]
+) -> None:
+    """Merge the newest runs when this micro-batch completes a group, and delete old parts.
+
+    `merge(parts, whole)` writes what the runs `parts` hold as the run `whole`.
+    """
     width = FANOUT
     while (batch_id + 1) % width == 0:
         whole = (batch_id + 1 - width, batch_id)
         runs = complete_runs(spark, path)
         parts = [run for run in live_runs(runs) if _contains(whole, run)]
         if len(parts) > 1:
-            # Written values are read and written again as they are.
-            _write(_read(spark, path, parts, schema), path, whole)
+            merge(parts, whole)
         width *= FANOUT
     runs = complete_runs(spark, path)
     live = live_runs(runs)
     for run in set(runs) - set(live):
         holder = next(other for other in live if _contains(other, run))
         if holder[1] + KEEP <= batch_id:
-            folder, files = _file_system(spark, _folder(path, run))
+            folder, files = _file_system(spark, run_folder(path, run))
             files.delete(folder, True)
 
 
+def merge_runs(spark: SparkSession, batch_id: int, path: str, schema: StructType) -> None:
+    """Merge the newest runs of a CSV archive; written values are written again as they are."""
+
+    def merge(parts: list[Run], whole: Run) -> None:
+        _write(_read(spark, path, parts, schema), path, whole)
+
+    merge_due(spark, batch_id, path, merge)
+
+
 def read_archive(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """All archived rows; a filter on `date` reads the folders of those days."""
     runs = live_runs(complete_runs(spark, path))

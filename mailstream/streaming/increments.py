@@ -19,11 +19,13 @@ from pyspark.sql.streaming import StreamingQuery
 
 from mailstream.operators.decode import decode_bounces, decode_deliveries
 from mailstream.operators.geo import GeoBlocks
-from mailstream.operators.lookup import Lookup
+from mailstream.operators.lookup import Lookup, hot_keys, left_join_static, lookup_key
 from mailstream.operators.rollup import rollup_all_columns, sum_counts, union_rows
 from mailstream.plans.actions import action_rows, enrich_actions, hot_action_keys
 from mailstream.plans.schemas import LOG_ARCHIVE
+from mailstream.plans.user_agents import agent_rows, name_providers
 from mailstream.sources.versions import Followed
+from mailstream.streaming.agent_texts import AGENT, AgentTexts, fields_of
 from mailstream.streaming.archive import archive_batch, merge_runs
 from mailstream.streaming.sinks import COMPACT_EVERY, Trigger
 from mailstream.streaming.snapshot import SnapshotTable, compact, expire, is_published, publish
@@ -121,6 +123,44 @@ def start_action_counts(
     return [start_increments(rows, count, table, path, trigger, compact_every)]
 
 
+def start_agent_counts(
+    lines: DataFrame,
+    isp_domains: Followed[Lookup],
+    texts: AgentTexts,
+    table: SnapshotTable,
+    checkpoint: str,
+    trigger: Trigger = Trigger(),
+    compact_every: int = COMPACT_EVERY,
+) -> list[StreamingQuery]:
+    """Counts per device, with a provider table that may change and texts parsed once.
+
+    Rows are counted before their texts are looked up.  Where the fields of a micro-batch's
+    texts are too large to broadcast, hot texts and providers are measured and salted.
+    """
+
+    def count(counted: DataFrame) -> Counted:
+        spark = counted.sparkSession
+        version, isps = isp_domains.current(spark)
+        fields = fields_of(counted, texts)
+        keys = {}
+        if not fields.small:
+            keys[AGENT] = F.col(AGENT)
+        if not isps.small:
+            keys["isp_id"] = lookup_key(isps, "isp_id")
+        hot = hot_keys(counted, keys, int(spark.conf.get("spark.sql.shuffle.partitions")))
+        # A row without a text needs no dictionary.
+        texted, textless = (counted.where(c) for c in (f"{AGENT} is not null", f"{AGENT} is null"))
+        found = fields.table.withColumnRenamed(AGENT, "__text")
+        parsed = left_join_static(
+            texted, found, F.col(AGENT), "__text", fields.small, salts=hot.get(AGENT)
+        )
+        rows = parsed.drop("__text").unionByName(texts.parse(textless))
+        return sum_counts(name_providers(rows, isps, hot)), {"isp_domains": version}
+
+    path = f"{checkpoint}/agent_counts"
+    return [start_increments(agent_rows(lines), count, table, path, trigger, compact_every)]
+
+
 def start_log_batches(
     bounces: DataFrame,
     deliveries: DataFrame,

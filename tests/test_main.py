@@ -84,7 +84,8 @@ def test_missing_options(job, capsys):
 
 
 @pytest.mark.parametrize(
-    ("job", "query"), [("actions", "actions_rollup"), ("logs", "logs_rollup")]
+    ("job", "query"),
+    [("actions", "actions_rollup"), ("logs", "logs_rollup"), ("user-agents", "user_agent_rollup")],
 )
 def test_jobs_without_state(spark, wired, job, query):
     versions = str(wired / "versions")
@@ -94,6 +95,9 @@ def test_jobs_without_state(spark, wired, job, query):
         publish_version(fx.isp_table(spark, SMALL), f"{versions}/isp_domains")
         publish_version(fx.list_table(spark, SMALL), f"{versions}/lists")
         publish_blocks(fx.nation_blocks(spark, SMALL), f"{versions}/blocks", fx.nation_blocks6(spark, SMALL))
+    if job == "user-agents":
+        options = ["--lookup-versions", versions, "--agent-texts", str(wired / "texts")]
+        publish_version(fx.isp_table(spark, SMALL), f"{versions}/isp_domains")
     run(spark, wired, job, "--micro-batches", *options)
     table = SnapshotTable(str(wired / "report"), cli.JOBS[job][1], adds=True)
     assert_same(read_snapshot(spark, table), ORACLE_SQL[query], SMALL)
