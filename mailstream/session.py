@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -17,6 +19,9 @@ STREAMING_CONF = {
 }
 
 
+ADAPTIVE = "spark.sql.adaptive.enabled"
+
+
 def build_session(
     app_name: str, master: str | None = None, **conf: str
 ) -> SparkSession:
@@ -39,6 +44,17 @@ def build_session(
     return builder.getOrCreate()
 
 
+@contextmanager
+def adaptive(spark: SparkSession) -> Iterator[None]:
+    """Adaptive execution for the jobs of one micro-batch; streams run without it."""
+    before = spark.conf.get(ADAPTIVE)
+    spark.conf.set(ADAPTIVE, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(ADAPTIVE, before)
+
+
 def shared_folder(spark: SparkSession, purpose: str) -> str:
     """A new folder path that every executor can reach.
 

@@ -10,10 +10,9 @@ published is skipped, one that was not is done anew with the versions of that mo
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Iterator
-from contextlib import contextmanager
+from collections.abc import Callable, Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -24,29 +23,17 @@ from mailstream.operators.rollup import rollup_all_columns, sum_counts, union_ro
 from mailstream.plans.actions import action_rows, enrich_actions, hot_action_keys
 from mailstream.plans.schemas import LOG_ARCHIVE
 from mailstream.plans.user_agents import agent_rows, name_providers
+from mailstream.session import adaptive
 from mailstream.sources.versions import Followed
 from mailstream.streaming.agent_texts import AGENT, AgentTexts, fields_of
 from mailstream.streaming.archive import archive_batch, merge_runs
 from mailstream.streaming.sinks import COMPACT_EVERY, Trigger
 from mailstream.streaming.snapshot import SnapshotTable, compact, expire, is_published, publish
 
-ADAPTIVE = "spark.sql.adaptive.enabled"
-
 #: What a micro-batch counts, and the version of each lookup table it used.
 Counted = tuple[DataFrame, dict[str, int]]
 
 
-@contextmanager
-def adaptive(spark: SparkSession) -> Iterator[None]:
-    """Adaptive execution for the jobs of one micro-batch; streams run without it."""
-    before = spark.conf.get(ADAPTIVE)
-    spark.conf.set(ADAPTIVE, "true")
-    try:
-        yield
-    finally:
-        spark.conf.set(ADAPTIVE, before)
-
-
 def _publish_and_compact(
     result: DataFrame,
     batch_id: int,

@@ -19,9 +19,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from mailstream.operators.rollup import TOTAL
+from mailstream.session import adaptive
 
 BATCH = "batch"
-#: A stream has no adaptive execution, so rows are dealt to files by count.
+#: No file of changes has more rows; a day gets as many files when it is compacted.
 ROWS_PER_FILE = 1_000_000
 NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
 QUERY_ID = "sql.streaming.queryId"
@@ -102,13 +103,11 @@ def publish(
         stream = files.create(path, True)
         stream.write(bytearray(json.dumps({BATCH: batch_id, **versions}), "utf-8"))
         stream.close()
-    rows = batch.select(*table.schema.names).persist()
-    try:
-        files = max(1, -(-rows.count() // ROWS_PER_FILE))
-        dealt = rows.repartition(files)
-        dealt.write.mode("overwrite").parquet(f"{table.path}/changes/batch={batch_id}")
-    finally:
-        rows.unpersist()
+    # Adaptive execution deals the rows to files by their size, in one pass.
+    with adaptive(spark):
+        dealt = batch.select(*table.schema.names).hint("rebalance")
+        writer = dealt.write.mode("overwrite").option("maxRecordsPerFile", ROWS_PER_FILE)
+        writer.parquet(f"{table.path}/changes/batch={batch_id}")
 
 
 def batch_versions(spark: SparkSession, table: SnapshotTable) -> DataFrame:
