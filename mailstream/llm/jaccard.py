@@ -7,7 +7,7 @@ Of segments matched exactly and segments matched up to one deletion, e + 2 d > H
 enough for every linked pair to agree in one of them; `allocation` weighs the rows that
 one-deletion neighbourhoods cost against the crowds that short segments draw.  Each set
 indexes its segments under its own band and the one below, so a pair meets under the band
-of its smaller set.
+of its smaller set, and groups of bands are indexed one after another.
 
 Equal sets are one class.  Classes that share a signature are verified on their whole
 sets: first each class with the smallest of its bucket; then, where a bucket still holds
@@ -23,7 +23,7 @@ are read; other columns do not matter.  An empty table gives an empty result.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Iterator, Mapping
 
 import numpy as np
 import pandas as pd
@@ -43,6 +43,8 @@ from mailstream.llm.stretches import (
 
 #: What a class that meets others by a segment of one or no shingle costs, in index rows.
 CROWD_ROWS = 200.0
+#: Groups of size bands, indexed one after another: each is about that part of the index.
+BAND_GROUPS = 4
 #: Classes of a block, and shingles of a block that are compared at a time.
 BLOCK_SETS = 256
 BLOCK_TOKENS = 8192
@@ -91,13 +93,13 @@ def allocation(percent: int, band: int) -> tuple[int, int]:
     return best[1], best[2]
 
 
-def signatures(hashes: np.ndarray, percent: int) -> np.ndarray:
-    """Segment signatures of one set under its band and the band below."""
+def signatures(hashes: np.ndarray, percent: int, bands: range | None = None) -> np.ndarray:
+    """Segment signatures of one set under its band and the band below, if among `bands`."""
     edges = band_edges(percent)
     own = int(np.searchsorted(edges, len(hashes), side="right")) - 1
     out = []
     for band in (own, own - 1):
-        if band < 0:
+        if band < 0 or (bands is not None and band not in bands):
             continue
         exact, deletions = allocation(percent, band)
         segments = exact + deletions
@@ -111,7 +113,34 @@ def signatures(hashes: np.ndarray, percent: int) -> np.ndarray:
             gone = segment < U64(deletions)
             at = segment[gone].astype(np.int64)
             out.append(mix((sums[at] - mixed[gone]) ^ label[at]))
-    return np.unique(np.concatenate(out))
+    return np.unique(np.concatenate(out)) if out else np.zeros(0, U64)
+
+
+def band_groups(sizes: Mapping[int, int], percent: int, groups: int) -> list[range]:
+    """Consecutive bands in about `groups` groups with as many signatures each.
+
+    `sizes` tells how many sets each band has.  Sets meet under one band only, so groups can
+    be indexed one after another; a band is never cut, so a group may be larger.
+    """
+    if not sizes:
+        return []
+    edges = band_edges(percent)
+
+    def signed(band: int) -> float:
+        exact, deletions = allocation(percent, band)
+        each = edges[band] / (exact + deletions)
+        rows = exact + deletions * (1 + each)
+        return rows * (sizes.get(band, 0) + sizes.get(band + 1, 0))
+
+    bands = range(max(min(sizes) - 1, 0), max(sizes) + 1)
+    most = sum(map(signed, bands)) / groups
+    found, start, held = [], bands.start, 0.0
+    for band in bands:
+        if held and held + signed(band) > most:
+            found.append(range(start, band))
+            start, held = band, 0.0
+        held += signed(band)
+    return [*found, range(start, bands.stop)]
 
 
 def _rows(docs: DataFrame) -> DataFrame:
@@ -154,6 +183,41 @@ def _key(hashes: np.ndarray) -> np.ndarray:
     return mix(total[:1] ^ mix(total[1:])).view(np.int64)
 
 
+def _cells(hashes: np.ndarray) -> bytes:
+    """How many hashes of a set fall into each of 256 cells, 255 standing for that or more."""
+    held = np.bincount((mix(hashes) >> U64(56)).astype(np.int64), minlength=256)
+    return np.minimum(held, 255).astype(np.uint8).tobytes()
+
+
+def _likely(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) that their cells do not rule out.
+
+    Two sets share no more than the lesser count of each cell, so no similar pair goes; most
+    pairs of unlike sets do, before their texts travel.
+    """
+    first, second = (
+        texts.select(*(F.col(x).alias(y) for x, y in zip(("key", "n_shingles", "cells"), names)))
+        for names in (("a", "m", "x"), ("b", "n", "y"))
+    )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            x, y = (
+                np.frombuffer(b"".join(batch.column(name).to_pylist()), np.uint8).reshape(-1, 256)
+                for name in "xy"
+            )
+            both = np.minimum(x, y)
+            most = both.sum(axis=1, dtype=np.int64)
+            sizes = batch.column("m").to_numpy() + batch.column("n").to_numpy()
+            # Of a full cell only the least count is known.
+            keep = (100 * most >= percent * (sizes - most)) | (both == 255).any(axis=1)
+            yield batch.filter(pa.array(keep)).select(["a", "b"])
+
+    return pairs.join(second, "b").join(first, "a").mapInArrow(run, "a long, b long")
+
+
 def _verified(pairs: DataFrame, texts: DataFrame, percent: int, shingle: int) -> DataFrame:
     """The pairs (a, b) of classes whose whole sets are similar enough.
 
@@ -277,6 +341,56 @@ def same_row(a: DataFrame, b: DataFrame) -> Column:
     return a["doc_id"].eqNullSafe(b["doc_id"]) & (a["text_hash"] == b["text_hash"])
 
 
+def _index(texts: DataFrame, percent: int, shingle: int, bands: range) -> DataFrame:
+    """signature, key of the sets under some bands."""
+    edges = band_edges(percent)
+    # A set is signed under its own band and the one below.
+    size = F.col("n_shingles")
+    texts = texts.where((size >= edges[bands.start]) & (size < edges[bands.stop + 1]))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch):
+                keys = part.column("key").to_numpy()
+                found = [
+                    signatures(shingle_set(text, shingle), percent, bands).view(np.int64)
+                    for text in part.column("text").to_pylist()
+                ]
+                if found:
+                    keys = np.repeat(keys, [len(x) for x in found])
+                    columns = [pa.array(np.concatenate(found)), pa.array(keys)]
+                    yield pa.RecordBatch.from_arrays(columns, ["signature", "key"])
+
+    return texts.select("key", "text").mapInArrow(run, "signature long, key long")
+
+
+def _met(texts: DataFrame, percent: int, shingle: int) -> tuple[DataFrame, DataFrame]:
+    """Buckets of several classes, and the members of those of more than two.
+
+    Groups of bands are indexed one after another, so that the shuffles of one group lie on
+    disk at a time.
+    """
+    later = F.lit(list(band_edges(percent)[1:])).cast("array<long>")
+    band = F.size(F.filter(later, lambda edge: edge <= F.col("n_shingles")))
+    sizes = {r["band"]: r["count"] for r in texts.groupBy(band.alias("band")).count().collect()}
+    buckets = texts.sparkSession.createDataFrame([], "signature long, b long, a long")
+    crowd = texts.sparkSession.createDataFrame([], "signature long, key long, b long")
+    for bands in band_groups(sizes, percent, BAND_GROUPS):
+        index = _index(texts, percent, shingle, bands)
+        found = written(
+            index.groupBy("signature")
+            .agg(F.min("key").alias("b"), F.max("key").alias("a"), F.count("*").alias("rows"))
+            .where("a != b"),
+            "jaccard-buckets",
+        )
+        # A bucket of two classes is its pair; the others' members are looked up again.
+        crowds = found.where("rows > 2").select("signature", "b")
+        members = index.join(crowds, "signature").select("signature", "key", "b")
+        crowd = crowd.unionByName(written(members, "jaccard-crowds"))
+        buckets = buckets.unionByName(found.select("signature", "b", "a"))
+    return buckets, crowd
+
+
 def jaccard_rows(docs: DataFrame, percent: int = 90, shingle: int = 3) -> DataFrame:
     """doc_id, text_hash, n_shingles, root for every row of `docs`.
 
@@ -284,42 +398,34 @@ def jaccard_rows(docs: DataFrame, percent: int = 90, shingle: int = 3) -> DataFr
     """
 
     def member(doc_id, text_hash, hashes):
-        return [doc_id], [text_hash], np.array([len(hashes)]), _key(hashes)
-
-    def signed(doc_id, text_hash, hashes):
-        found = signatures(hashes, percent) if len(hashes) else np.zeros(0, U64)
-        return found.view(np.int64), np.repeat(_key(hashes), len(found))
+        size = np.array([len(hashes)])
+        return [doc_id], [text_hash], size, _key(hashes), [_cells(hashes)]
 
     members = written(
         _map_sets(
-            docs, "doc_id long, text_hash long, n_shingles long, key long", shingle, member
+            docs,
+            "doc_id long, text_hash long, n_shingles long, key long, cells binary",
+            shingle,
+            member,
         ),
         "jaccard-members",
     )
-    index = _map_sets(docs, "signature long, key long", shingle, signed)
-    buckets = written(
-        index.groupBy("signature")
-        .agg(F.min("key").alias("b"), F.max("key").alias("a"), F.count("*").alias("rows"))
-        .where("a != b"),
-        "jaccard-buckets",
+    # One text of each class of equal sets, by doc_id and text: a doc_id may be null or repeated.
+    chosen = members.where("n_shingles > 0").groupBy("key").agg(
+        F.min(F.struct("doc_id", "text_hash", "n_shingles", "cells")).alias("row")
+    )
+    chosen = chosen.select("key", "row.*")
+    rows = _rows(docs)
+    texts = rows.join(chosen, same_row(rows, chosen)).select(
+        "key", "n_shingles", "cells", "text"
     )
-    # A bucket of two rows is its pair; the others' members are looked up again.
-    crowds = buckets.where("rows > 2").select("signature", "b")
-    crowd = written(index.join(crowds, "signature").distinct(), "jaccard-crowds")
+    texts = written(texts.dropDuplicates(["key"]), "jaccard-texts")
+    buckets, crowd = _met(texts, percent, shingle)
     pairs = buckets.select("a", "b").unionByName(
         crowd.where("key != b").select(F.col("key").alias("a"), "b")
     )
-    pairs = written(pairs.distinct(), "jaccard-pairs")
-    met = pairs.select(F.col("a").alias("key")).unionByName(
-        pairs.select(F.col("b").alias("key"))
-    )
-    met = met.unionByName(crowd.select("key")).distinct()
-    # By doc_id and text: a doc_id may be null or repeated.
-    chosen = members.groupBy("key").agg(F.min(F.struct("doc_id", "text_hash")).alias("row"))
-    chosen = chosen.join(met, "key").select("key", "row.*")
-    rows = _rows(docs)
-    texts = rows.join(chosen, same_row(rows, chosen)).select("key", "text")
-    texts = written(texts.dropDuplicates(["key"]), "jaccard-texts")
+    pairs = written(_likely(pairs.distinct(), texts, percent), "jaccard-pairs")
+    texts = texts.select("key", "text")
     links = written(_verified(pairs, texts, percent, shingle), "jaccard-links")
     roots = written(components(links, "jaccard-stars"), "jaccard-roots")
     more = _links_between(crowd, roots, texts, percent, shingle)

@@ -5,6 +5,7 @@ import random
 import re
 from itertools import combinations
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -70,6 +71,47 @@ def test_null_ids_link_but_name_nothing(spark):
     assert found == {(None, 7), (7, 7), (None, None)}
 
 
+def test_cells_rule_out_no_similar_pair(spark):
+    """Upper bound on what two sets share, also where cells are full."""
+    random = np.random.default_rng(3)
+    sets, rows = {}, []
+    for key, size in enumerate([1, 40, 40, 700, 700, 90_000, 90_000]):
+        sets[key] = random.integers(0, 1 << 63, size).astype(np.uint64)
+    sets[2][:34], sets[4][:650] = sets[1][:34], sets[3][:650]
+    for key, held in sets.items():
+        rows.append((key, len(held), bytearray(jaccard._cells(held))))
+    texts = spark.createDataFrame(rows, "key long, n_shingles long, cells binary")
+    pairs = spark.createDataFrame([(1, 2), (3, 4), (1, 3), (5, 6), (0, 1)], "a long, b long")
+    found = {tuple(r) for r in jaccard._likely(pairs, texts, 70).collect()}
+    assert {(1, 2), (3, 4), (5, 6)} <= found and not {(1, 3), (0, 1)} & found
+    assert jaccard._likely(pairs.limit(0), texts, 70).count() == 0
+
+
+def test_band_groups_cover_every_band_once():
+    sizes = {3: 10, 4: 500, 5: 20, 9: 7, 20: 3}
+    for groups in (1, 2, 4, 50):
+        found = jaccard.band_groups(sizes, 80, groups)
+        assert [band for bands in found for band in bands] == [*range(2, 21)]
+        assert all(len(bands) for bands in found) and (groups > 1) == (len(found) > 1)
+    assert jaccard.band_groups({}, 80, 4) == []
+    assert jaccard.band_groups({0: 5}, 80, 4) in ([range(0, 1)],)
+
+
+@pytest.mark.parametrize("groups", [1, 30])
+def test_pairs_across_a_border_of_groups_meet(spark, monkeypatch, groups):
+    """Sizes of two bands, which lie in one group or in two."""
+    monkeypatch.setattr(jaccard, "BAND_GROUPS", groups)
+    edge = band_edges(90)[14]
+    rows = []
+    for n in range(edge - 2, edge + 2):
+        words = [f"w{i}" for i in range(n + 2)]
+        rows += [(n, " ".join(words), "x"), (1000 + n, " ".join(f"v{w}" for w in words), "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, key string")
+    found = {r["doc_id"]: r["component_id"] for r in jaccard_components(docs).collect()}
+    first = edge - 2
+    assert found == {n: 1000 + first if n >= 1000 else first for n in found} and len(found) == 8
+
+
 @pytest.mark.parametrize("percent", [80, 90, 95])
 def test_allocation_covers_the_differences(percent):
     edges = band_edges(percent)
