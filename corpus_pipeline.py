@@ -33,12 +33,20 @@ SURE = 0.5
 SHINGLE, NEAR = 5, 80
 
 
+def _unused(docs: DataFrame, name: str) -> str:
+    """A column name that `docs` does not have, in whatever case."""
+    taken = {column.lower() for column in docs.columns}
+    while name in taken:
+        name += "_"
+    return name
+
+
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = fit_languages(docs)
     found = predict_languages(docs, model, *[docs[name] for name in docs.columns])
-    found = found.toDF(*docs.columns, "_lang_pred", "_sure")
-    kept = (F.col("_lang_pred") != UNDECIDED) & (F.col("_sure") >= SURE)
-    return found.where(kept).drop("_lang_pred", "_sure")
+    lang, sure = _unused(docs, "_lang_pred"), _unused(docs, "_sure")
+    found = found.toDF(*docs.columns, lang, sure)
+    return found.where((F.col(lang) != UNDECIDED) & (F.col(sure) >= SURE)).drop(lang, sure)
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -47,13 +55,14 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     row = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_hash")
     first = worded.groupBy("root").agg(F.min(row).alias("row")).select("row.*").drop("last")
     text = text_or_empty()
+    doc, digest = _unused(docs, "_doc"), _unused(docs, "_hash")
     named = docs.withColumns(
-        {"_doc": F.col("doc_id").cast("long"), "_hash": F.xxhash64(text)}
+        {doc: F.col("doc_id").cast("long"), digest: F.xxhash64(text)}
     ).where(text.rlike(WORD))
-    same = named["_doc"].eqNullSafe(first["doc_id"]) & (named["_hash"] == first["text_hash"])
+    same = named[doc].eqNullSafe(first["doc_id"]) & (named[digest] == first["text_hash"])
     kept = named.join(first, same, "left_semi")
     if not worded.groupBy("doc_id", "text_hash").count().where("count > 1").isEmpty():
-        kept = kept.dropDuplicates(["_doc", "_hash"])
+        kept = kept.dropDuplicates([doc, digest])
     return kept.select(*docs.columns).unionByName(docs.where(~text.rlike(WORD)))
 
 
