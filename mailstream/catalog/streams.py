@@ -20,7 +20,7 @@ from mailstream.plans.schemas import (
     LOGS_REPORT,
     USER_AGENT_REPORT,
 )
-from mailstream.session import shared_folder
+from mailstream.session import closing_batches, shared_folder
 from mailstream.sources.files import file_source
 from mailstream.sources.versions import (
     followed_blocks,
@@ -64,31 +64,43 @@ def _topic_stream(spark: SparkSession, sf_dir: str, topic: str, folder: str) ->
     return file_source(spark, path, max_files_per_trigger=ceil(files / MICRO_BATCHES))
 
 
-def _topic_by_day(spark: SparkSession, sf_dir: str, topic: str, folder: str) -> DataFrame:
-    """A topic as message files, a micro-batch for each third of the month, in that order."""
+def _third_of_topic(
+    spark: SparkSession, sf_dir: str, topic: str, folder: str, part: int
+) -> DataFrame:
+    """A topic as message files, to which those of another third of the month are added.
+
+    As many tasks write them as the join has, so no task holds a third.
+    """
     path = f"{folder}/topics/{topic}"
     lines = fx.topic_lines(spark, sf_dir, topic)
     events = spark.read.parquet(f"{sf_dir}/events.parquet").select("event_id", "ts")
     dated = lines.join(events, "event_id")
     third = F.least(F.lit(MICRO_BATCHES - 1), F.floor((F.dayofmonth("ts") - 1) / 10))
-    for part in range(MICRO_BATCHES):
-        rows = dated.where(third == part).select("value")
-        rows.coalesce(1).write.mode("append").parquet(path)
-    return file_source(spark, path, max_files_per_trigger=1)
+    dated.where(third == part).select("value").write.mode("append").parquet(path)
+    return file_source(spark, path)
 
 
 def q_stream_logs_closed_days(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Counts of the days that are closed when the topics end; their state is gone."""
+    """Counts of the days that are closed when the topics end; their state is gone.
+
+    A run goes on where the one before ended and takes a third of the month, whatever number
+    of files that is, as one micro-batch; the last run closes the days that are over.
+    """
     folder = shared_folder(spark, "closed")
     table = SnapshotTable(f"{folder}/report", LOGS_REPORT)
-    queries = start_closed_log_days(
-        _topic_by_day(spark, sf_dir, "bounce", folder),
-        _topic_by_day(spark, sf_dir, "delivered", folder),
-        snapshot_writer(table),
-        f"{folder}/checkpoints",
-        trigger=ALL_NOW,
-    )
-    await_queries(queries)
+    for part in range(MICRO_BATCHES):
+        bounces, deliveries = (
+            _third_of_topic(spark, sf_dir, topic, folder, part) for topic in fx.LOG_EVENTS
+        )
+        with closing_batches(spark, part == MICRO_BATCHES - 1):
+            queries = start_closed_log_days(
+                bounces,
+                deliveries,
+                snapshot_writer(table),
+                f"{folder}/checkpoints",
+                trigger=ALL_NOW,
+            )
+            await_queries(queries)
     return read_snapshot(spark, table)
 
 
