@@ -4,7 +4,10 @@ The counts of all phrases of one, two and three words are three streams.  Tasks
 phrases of a million words at a time and add up equal neighbours; one shuffle for each stream
 adds up the runs, so a phrase that is a third of the input arrives as one row per run.  A
 phrase of which a candidate consists is at least as frequent as the candidate, so streams
-hold the phrases that reach the least count and no others.  Streams are merged in lockstep
+hold the phrases that reach the least count and no others, and tasks leave aside a phrase
+before they sort it if one of its two parts that are a word shorter has no bit in a bitmap of
+fixed size, in which each phrase of that length that reaches the least count has one (others
+may share it, and what they let through is counted and dropped as before).  Streams are merged in lockstep
 (sorted merge joins, no hash tables), in prefix order (first words first), where a phrase
 meets the count of its left part and of its extensions to the right, and in suffix order,
 where it meets the count of its right part and of its extensions to the left.
@@ -20,6 +23,7 @@ to 10**15 are exact, products of them too (38 digits).
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 from functools import reduce
 
@@ -30,6 +34,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from mailstream.llm.common import slices, text_or_empty, written
+from mailstream.llm.stretches import BASE, U64, mix, word_hashes
 
 CAPITALS, SMALL = b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz"
 #: Bytes at which a text is cut, all of them as one, and those that separate words.
@@ -38,6 +43,10 @@ _MARKS = bytes.maketrans(CAPITALS + CUTS + BLANKS, SMALL + CUT * len(CUTS) + b"
 #: Words of a run that a task sorts at once; fewer than 2**WORD_BITS.
 RUN, WORD_BITS = 1_000_000, 21
 NO_LANGUAGE = "und"
+#: Bits of a bitmap, as a power of two (4 MB), whatever the input.
+BITMAP_BITS = 25
+#: Words that are looked up in it at a time.
+SLICE = 1 << 15
 #: Words of the longest candidate, the least count, phrases reported for each language.
 LONGEST, LEAST, TOP = 3, 10, 2000
 #: A phrase goes if a longer candidate has this share of its places.
@@ -56,29 +65,100 @@ def _names(words: int) -> list[str]:
     return [f"w{at + 1}" for at in range(words)]
 
 
-def _sorted_run(tokens: list[bytes], words: int) -> tuple[pa.Array, np.ndarray]:
+def _bits(hashes: np.ndarray, words: int, lang: str) -> np.ndarray:
+    """The bit of each phrase of so many words in a row, from the hashes of the words."""
+    seed = hashlib.blake2b(lang.encode(), digest_size=8).digest()
+    begin = max(0, len(hashes) - words + 1)
+    found = np.full(begin, int.from_bytes(seed, "little"), U64)
+    for at in range(words):
+        found = mix(found * U64(BASE) + hashes[at : at + begin])
+    return (found >> U64(64 - BITMAP_BITS)).astype(np.int64)
+
+
+def _bitmap(stream: DataFrame, words: int) -> np.ndarray:
+    """Bits, packed, of the phrases of a stream; tasks turn them on, Spark brings them together."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = batch.column("phrase").to_pylist()
+            # A phrase and the next are apart: only every so manieth row of words is one.
+            hashes = word_hashes(np.frombuffer(" ".join(texts).encode(), np.uint8))
+            langs = batch.column("lang").dictionary_encode()
+            numbers, at = langs.indices.to_numpy(), np.zeros(len(texts), np.int64)
+            for number, lang in enumerate(langs.dictionary.to_pylist()):
+                own = numbers == number
+                some = hashes.reshape(-1, words)[own].ravel()
+                at[own] = _bits(some, words, lang)[::words]
+            cells, place = np.unique(at >> 6, return_inverse=True)
+            bits = np.zeros(len(cells), U64)
+            np.bitwise_or.at(bits, place, U64(1) << (at & 63).astype(U64))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(cells), pa.array(bits.view(np.int64))], ["cell", "bits"]
+            )
+
+    rows = stream.select("lang", "phrase").mapInArrow(run, "cell long, bits long")
+    # No more rows than the bitmap has cells of 64 bits, whatever the input.
+    found = rows.groupBy("cell").agg(F.bit_or("bits").alias("bits")).toArrow()
+    bitmap = np.zeros(1 << (BITMAP_BITS - 6), np.int64)
+    bitmap[found.column("cell").to_numpy()] = found.column("bits").to_numpy()
+    return bitmap
+
+
+def _frequent(
+    vocabulary: list[bytes], ids: np.ndarray, words: int, lang: str, bitmap: np.ndarray
+) -> np.ndarray:
+    """Which phrases of so many words in a row may reach the least count."""
+    hashes = np.zeros(len(vocabulary), U64)
+    named = np.array([word != CUT for word in vocabulary])
+    data = b" ".join(word for word in vocabulary if word != CUT)
+    hashes[named] = word_hashes(np.frombuffer(data, np.uint8))
+
+    def marked(some: np.ndarray) -> np.ndarray:
+        at = _bits(some, words, lang)
+        return (bitmap[at >> 6] >> (at & 63)) & 1 == 1
+
+    if words == 1:
+        return marked(hashes)[ids]
+    found = np.zeros(max(0, len(ids) - words + 1), bool)
+    for start in range(0, len(found), SLICE):
+        some = hashes[ids[start : start + SLICE + words - 1]]
+        found[start : start + SLICE] = marked(some)
+    return found
+
+
+def _sorted_run(
+    tokens: list[bytes], words: int, lang: str, bitmap: np.ndarray | None = None
+) -> tuple[pa.Array, np.ndarray]:
     """The phrases of so many words that begin in `tokens`, in prefix order, and their counts.
 
     Words get numbers in their order; a phrase is its words' numbers side by side, and equal
-    ones are neighbours once these are sorted.
+    ones are neighbours once these are sorted.  Those of which `bitmap` rules out a part are
+    left aside.
     """
     vocabulary = sorted(set(tokens))
     number = {word: at for at, word in enumerate(vocabulary)}
     ids = np.fromiter(map(number.__getitem__, tokens), np.int64, len(tokens))
     whole = ids != number.get(CUT, -1)
+    del number
     begin = max(0, len(ids) - words + 1)
-    key, inside = np.zeros(begin, np.int64), np.ones(begin, bool)
+    inside = np.ones(begin, bool)
     for at in range(words):
-        key = (key << WORD_BITS) | ids[at : at + begin]
         inside &= whole[at : at + begin]
-    keys, counts = np.unique(key[inside], return_counts=True)
+    if bitmap is not None and begin:
+        likely = _frequent(vocabulary, ids, words - 1, lang, bitmap)
+        inside &= likely[:begin] & likely[1 : begin + 1]
+    key = np.zeros(int(inside.sum()), np.int64)
+    for at in range(words):
+        key = (key << WORD_BITS) | ids[at : at + begin][inside]
+    keys, counts = np.unique(key, return_counts=True)
+    del key, ids
     names = pa.array(vocabulary, pa.binary()).cast(pa.string())
     shifts = range(WORD_BITS * (words - 1), -1, -WORD_BITS)
     parts = [names.take(pa.array((keys >> shift) & ((1 << WORD_BITS) - 1))) for shift in shifts]
     return pc.binary_join_element_wise(*parts, " "), counts
 
 
-def _runs(docs: DataFrame, words: int) -> DataFrame:
+def _runs(docs: DataFrame, words: int, bitmap: np.ndarray | None = None) -> DataFrame:
     """lang, phrase, n: each task's phrases of so many words, as sorted runs of counts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -87,7 +167,8 @@ def _runs(docs: DataFrame, words: int) -> DataFrame:
         def counted(lang: str, tokens: list[bytes]) -> Iterator[pa.RecordBatch]:
             for start in range(0, len(tokens), RUN):
                 # The last phrases of a run reach into the next one.
-                phrases, n = _sorted_run(tokens[start : start + RUN + words - 1], words)
+                part = tokens[start : start + RUN + words - 1]
+                phrases, n = _sorted_run(part, words, lang, bitmap)
                 columns = [pa.array([lang]).take(pa.array(np.zeros(len(n), int))), phrases, n]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c) if isinstance(c, np.ndarray) else c for c in columns],
@@ -114,9 +195,9 @@ def _runs(docs: DataFrame, words: int) -> DataFrame:
     return texts.mapInArrow(run, "lang string, phrase string, n long")
 
 
-def _counts(docs: DataFrame, words: int) -> DataFrame:
+def _counts(docs: DataFrame, words: int, bitmap: np.ndarray | None = None) -> DataFrame:
     """lang, phrase, f: what all runs hold of a phrase; a hot phrase is one row per run."""
-    return _runs(docs, words).groupBy("lang", "phrase").agg(F.sum("n").alias("f"))
+    return _runs(docs, words, bitmap).groupBy("lang", "phrase").agg(F.sum("n").alias("f"))
 
 
 def _stream(counts: DataFrame, words: int, least: int) -> DataFrame:
@@ -185,7 +266,9 @@ def collocations(docs: DataFrame, top: int = TOP, least: int = LEAST) -> DataFra
     single = written(_counts(docs, 1), "phrases-1")
     streams = {1: _stream(single, 1, least)}
     for words in range(2, LONGEST + 1):
-        streams[words] = written(_stream(_counts(docs, words), words, least), f"phrases-{words}")
+        bitmap = _bitmap(streams[words - 1], words - 1)
+        counts = _counts(docs, words, bitmap)
+        streams[words] = written(_stream(counts, words, least), f"phrases-{words}")
     sizes = single.groupBy("lang").agg(F.sum("f").alias("n"))
     kept = [
         _uncovered(_scored(streams, words), streams, words).drop(*_names(words))

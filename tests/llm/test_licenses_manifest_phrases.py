@@ -253,3 +253,24 @@ def test_products_beyond_64_bits_are_exact(spark):
 def test_no_phrases(spark):
     assert collocations(documents(spark, []), 2000, 10).collect() == []
     assert collocations(texts(spark, None, "", "a b c"), 2000, 10).collect() == []
+
+
+def test_tasks_send_no_phrases_with_rare_parts(spark, monkeypatch):
+    """Rare phrases of frequent words stay where they are; the result is whole."""
+    sent, runs = [], phrases._runs
+
+    def watched(*args):
+        sent.append(runs(*args))
+        return sent[-1]
+
+    monkeypatch.setattr(phrases, "_runs", watched)
+    random.seed(3)
+    common = [f"w{i}" for i in range(120)]
+    rows = [(i, " ".join(random.choices(common, k=40)), "en", "s", 0) for i in range(100)]
+    rows += [(900 + i, f"x{i} here it stands y{i}", "en" if i % 2 else None, "s", 0) for i in range(60)]
+    rows += [(990, "é " * 30 + "z" * 70 + " " + "\x0b" * 3, "fr", "s", 0)]
+    found = collocations(documents(spark, rows), 2000, 10).collect()
+    assert sorted(map(tuple, found)) == phrases_of(rows, 2000, 10)
+    assert any(r["phrase"] == "here it stands" for r in found)
+    single, double, triple = (df.count() for df in sent)
+    assert single > 240 and double < 3800 and triple < 20
