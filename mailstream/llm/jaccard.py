@@ -11,9 +11,10 @@ of its smaller set, and groups of bands are indexed one after another.
 
 Equal sets are one class.  Classes that share a signature are verified on their whole
 sets: first each class with the smallest of its bucket; then, where a bucket still holds
-classes of different components, block by block.  Links within a component change nothing
-and are not looked for again, so copies never become all pairs, and no link between
-different components is lost.
+classes of different components, those of different components whose counts of shingles by
+cells allow a link, pair by pair where such pairs are few and block by block where they are
+many.  Links within a component change nothing and are not looked for again, so copies never
+become all pairs, and no link between different components is lost.
 
 Null or wordless text has an empty set and links with nothing.  Repeated rows are equal
 sets.  Null doc_id links like any other but never names a component.  Only doc_id and text
@@ -48,6 +49,11 @@ BAND_GROUPS = 4
 #: Classes of a block, and shingles of a block that are compared at a time.
 BLOCK_SETS = 256
 BLOCK_TOKENS = 8192
+#: Classes of a bucket whose cells one task compares, and pairs of them at a time.
+TILE_SETS = 2048
+TILE_PAIRS = 1 << 14
+#: Likely pairs for each class of a tile, beyond which its classes meet in blocks instead.
+DENSE_PAIRS = 8
 
 
 def shingle_set(text: str, shingle: int = 3) -> np.ndarray:
@@ -189,11 +195,27 @@ def _cells(hashes: np.ndarray) -> bytes:
     return np.minimum(held, 255).astype(np.uint8).tobytes()
 
 
+def _may_link(x: np.ndarray, y: np.ndarray, sizes: np.ndarray, percent: int) -> np.ndarray:
+    """Which pairs of sets their cells do not rule out; `sizes` are those of both together.
+
+    Two sets share no more than the lesser count of each cell, so no similar pair goes.
+    """
+    both = np.minimum(x, y)
+    # Bytes are added in lanes of 16 bits, which 64 of them cannot fill.
+    eight, even = both.view(np.uint64), U64(0x00FF00FF00FF00FF)
+    lanes = (eight & even).sum(axis=1) + ((eight >> U64(8)) & even).sum(axis=1)
+    most = lanes.view(np.uint16).reshape(-1, 4).sum(axis=1, dtype=np.int64)
+    keep = 100 * most >= percent * (sizes - most)
+    # Of a full cell only the least count is known.
+    unsure = np.flatnonzero(~keep)
+    keep[unsure] = (both[unsure] == 255).any(axis=1)
+    return keep
+
+
 def _likely(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) that their cells do not rule out.
 
-    Two sets share no more than the lesser count of each cell, so no similar pair goes; most
-    pairs of unlike sets do, before their texts travel.
+    Most pairs of unlike sets go, before their texts travel.
     """
     first, second = (
         texts.select(*(F.col(x).alias(y) for x, y in zip(("key", "n_shingles", "cells"), names)))
@@ -208,11 +230,8 @@ def _likely(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
                 np.frombuffer(b"".join(batch.column(name).to_pylist()), np.uint8).reshape(-1, 256)
                 for name in "xy"
             )
-            both = np.minimum(x, y)
-            most = both.sum(axis=1, dtype=np.int64)
             sizes = batch.column("m").to_numpy() + batch.column("n").to_numpy()
-            # Of a full cell only the least count is known.
-            keep = (100 * most >= percent * (sizes - most)) | (both == 255).any(axis=1)
+            keep = _may_link(x, y, sizes, percent)
             yield batch.filter(pa.array(keep)).select(["a", "b"])
 
     return pairs.join(second, "b").join(first, "a").mapInArrow(run, "a long, b long")
@@ -286,26 +305,155 @@ def _block_links(
     return found
 
 
+def _tile_pairs(second: np.ndarray, begins: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
+    """Tile, first and second row of the pairs of some tiles, which begin at `begins`.
+
+    A tile's rows of the first block stand before those of the second, if there are any;
+    pairs within the first are then left to the tile of that block with itself.
+    """
+    ends = np.append(begins[1:], len(second))
+    firsts = np.add.reduceat(~second, begins, dtype=np.int64)
+    alone = firsts == ends - begins
+    row = np.arange(len(second))
+    tile = np.repeat(np.arange(len(begins)), ends - begins)
+    # Rows that each row of a first block meets: those after it, or the second block.
+    start = np.where(alone[tile], row + 1, (begins + firsts)[tile])
+    count = np.where(second, 0, ends[tile] - start)
+    bounds = np.concatenate([[0], np.cumsum(count)])
+    for low in range(0, bounds[-1], TILE_PAIRS):
+        at = np.arange(low, min(low + TILE_PAIRS, bounds[-1]))
+        i = np.searchsorted(bounds, at, side="right") - 1
+        yield tile[i], i, start[i] + at - bounds[i]
+
+
+def _near_by_cells(placed: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+    """signature, a, b: what the cells leave of the pairs of different roots in buckets.
+
+    Without a signature (a, b) is a pair.  Where a tile, all or two blocks of a bucket, has
+    more pairs than `DENSE_PAIRS` for each class, it gives its classes of such pairs alone,
+    as a, with the signature.  So the rows grow with those of the tiles, not with the pairs.
+    """
+    sizes = placed.groupBy("signature").agg(
+        F.ceil(F.count("*") / TILE_SETS).cast("int").alias("blocks")
+    )
+    block = F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int")
+    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    rows = placed.join(sizes, "signature").withColumn("block", block).withColumn("other", other)
+    rows = rows.select(
+        "signature",
+        F.least("block", "other").alias("low"),
+        F.greatest("block", "other").alias("high"),
+        (F.col("block") > F.col("other")).alias("second"),
+        "key",
+        "root",
+    )
+    rows = rows.join(texts.select("key", "n_shingles", "cells"), "key")
+    tile = ["signature", "low", "high"]
+    rows = rows.repartition(*tile).sortWithinPartitions(*tile, "second")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            held.append(batch)
+            if sum(x.num_rows for x in held) < TILE_SETS:
+                continue
+            table = pa.Table.from_batches(held).combine_chunks()
+            begins = tiles(table)
+            # The last tile may go on in the next batch.
+            yield from compare(table.slice(0, begins[-1]), begins[:-1])
+            held = table.slice(begins[-1]).to_batches()
+        if held:
+            table = pa.Table.from_batches(held).combine_chunks()
+            yield from compare(table, tiles(table))
+
+    def tiles(table: pa.Table) -> np.ndarray:
+        new = np.zeros(table.num_rows, bool)
+        new[:1] = True
+        for name in tile:
+            column = table.column(name).to_numpy()
+            new[1:] |= column[1:] != column[:-1]
+        return np.flatnonzero(new)
+
+    def compare(table: pa.Table, begins: np.ndarray) -> Iterator[pa.RecordBatch]:
+        if not len(begins):
+            return
+        signature, key, root, size = (
+            table.column(x).to_numpy() for x in ("signature", "key", "root", "n_shingles")
+        )
+        cells = b"".join(table.column("cells").to_pylist())
+        cells = np.frombuffer(cells, np.uint8).reshape(-1, 256)
+        classes = np.diff(np.append(begins, len(key)))
+        pairs = np.zeros(len(begins), np.int64)
+        near = np.zeros(len(key), bool)
+        waiting: list[tuple[np.ndarray, ...]] = []
+        for owner, i, j in _tile_pairs(table.column("second").to_numpy(), begins):
+            apart = root[i] != root[j]
+            owner, i, j = owner[apart], i[apart], j[apart]
+            keep = _may_link(cells[i], cells[j], size[i] + size[j], percent)
+            owner, i, j = owner[keep], i[keep], j[keep]
+            pairs += np.bincount(owner, minlength=len(begins))
+            near[i] = near[j] = True
+            few = pairs[owner] <= DENSE_PAIRS * classes[owner]
+            waiting.append((owner[few], i[few], j[few]))
+        if not waiting:
+            return
+        owner, i, j = (np.concatenate(column) for column in zip(*waiting, strict=True))
+        dense = pairs > DENSE_PAIRS * classes
+        few = ~dense[owner]
+        a, b = key[i[few]], key[j[few]]
+        alone = near & np.repeat(dense, classes)
+        none, no_pair = pa.nulls(len(a), pa.int64()), pa.nulls(int(alone.sum()), pa.int64())
+        columns = [
+            pa.concat_arrays([none, pa.array(signature[alone])]),
+            pa.concat_arrays([pa.array(np.maximum(a, b)), pa.array(key[alone])]),
+            pa.concat_arrays([pa.array(np.minimum(a, b)), no_pair]),
+        ]
+        yield pa.RecordBatch.from_arrays(columns, ["signature", "a", "b"])
+
+    found = rows.select(*tile, "second", "key", "root", "n_shingles", "cells")
+    found = found.mapInArrow(run, "signature long, a long, b long")
+    return found.distinct()
+
+
 def _links_between(
     crowd: DataFrame, roots: DataFrame, texts: DataFrame, percent: int, shingle: int
 ) -> DataFrame:
-    """Links between components that share a bucket, from blocks of whole sets.
+    """Links between components that share a bucket.
 
-    Classes of such buckets that hang together are dealt into blocks; each two blocks that
-    share a bucket meet once, as a matrix product in one task, so that the rows of a large
-    group grow with its blocks and never become pairs of classes.
+    Pairs that cells do not rule out are verified; where they are many, their classes meet
+    in blocks.
     """
     placed = crowd.select("signature", "key").join(
         roots.withColumnRenamed("node", "key"), "key", "left"
     )
     placed = placed.select("signature", "key", F.coalesce("root", "key").alias("root"))
-    buckets = placed.groupBy("signature").agg(
-        F.min("root").alias("r"), F.max("root").alias("s"), F.min("key").alias("first")
-    )
-    buckets = buckets.where("r != s").select("signature", "first")
+    buckets = placed.groupBy("signature").agg(F.min("root").alias("r"), F.max("root").alias("s"))
+    buckets = buckets.where("r != s").select("signature")
     placed = written(placed.join(buckets, "signature"), "jaccard-open")
+    near = written(_near_by_cells(placed, texts, percent), "jaccard-near")
+    texts = texts.select("key", "text")
+    pairs = near.where("signature is null").select("a", "b")
+    links = _verified(pairs, texts, percent, shingle)
+    dense = near.where("signature is not null").select("signature", F.col("a").alias("key"))
+    if dense.isEmpty():
+        return links
+    dense = written(placed.join(dense, ["signature", "key"]), "jaccard-dense")
+    return links.unionByName(_links_in_blocks(dense, texts, percent, shingle))
+
+
+def _links_in_blocks(
+    placed: DataFrame, texts: DataFrame, percent: int, shingle: int
+) -> DataFrame:
+    """Links between roots in the buckets of `placed` (signature, key, root).
+
+    Classes of buckets that hang together are dealt into blocks; each two blocks that share
+    a bucket meet once, as a matrix product in one task, so that the rows of a large group
+    grow with its blocks and never become pairs of classes.
+    """
+    first = placed.groupBy("signature").agg(F.min("key").alias("first"))
     together = components(
-        placed.select(F.col("key").alias("a"), F.col("first").alias("b")), "jaccard-together"
+        placed.join(first, "signature").select(F.col("key").alias("a"), F.col("first").alias("b")),
+        "jaccard-together",
     ).withColumnRenamed("root", "cluster")
     sizes = together.groupBy("cluster").agg(F.count("*").alias("classes"))
     block = F.pmod(
@@ -425,8 +573,8 @@ def jaccard_rows(docs: DataFrame, percent: int = 90, shingle: int = 3) -> DataFr
         crowd.where("key != b").select(F.col("key").alias("a"), "b")
     )
     pairs = written(_likely(pairs.distinct(), texts, percent), "jaccard-pairs")
-    texts = texts.select("key", "text")
-    links = written(_verified(pairs, texts, percent, shingle), "jaccard-links")
+    sets = texts.select("key", "text")
+    links = written(_verified(pairs, sets, percent, shingle), "jaccard-links")
     roots = written(components(links, "jaccard-stars"), "jaccard-roots")
     more = _links_between(crowd, roots, texts, percent, shingle)
     more = written(more, "jaccard-more-links")

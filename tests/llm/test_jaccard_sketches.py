@@ -87,6 +87,54 @@ def test_cells_rule_out_no_similar_pair(spark):
     assert jaccard._likely(pairs.limit(0), texts, 70).count() == 0
 
 
+def crowd_of(spark, sets):
+    """Classes of some texts that all share one bucket, none of them linked yet."""
+    rows = []
+    for key, text in enumerate(sets):
+        held = shingle_set(text)
+        rows.append((7, key, text, len(held), bytearray(jaccard._cells(held))))
+    texts = spark.createDataFrame(
+        rows, "signature long, key long, text string, n_shingles long, cells binary"
+    )
+    roots = spark.createDataFrame([], "node long, root long")
+    return texts.select("signature", "key"), roots, texts.drop("signature")
+
+
+def test_texts_of_unlike_classes_do_not_travel(spark, monkeypatch):
+    """Classes of one bucket were sent once for each two blocks."""
+    monkeypatch.setattr(jaccard, "BLOCK_SETS", 2)
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(text, shingle=3):
+        read.add(1)
+        return shingle_set(text, shingle)
+
+    monkeypatch.setattr(jaccard, "shingle_set", counted)
+    rng = random.Random(8)
+    sets = [" ".join(f"w{rng.randint(0, 9999)}" for _ in range(60)) for _ in range(40)]
+    sets[31] = sets[4] + " end"
+    found = jaccard._links_between(*crowd_of(spark, sets), 90, 3).collect()
+    assert [sorted(r) for r in found] == [[4, 31]] and read.value <= len(sets)
+
+
+@pytest.mark.parametrize("tile", [3, 10, 2048])
+@pytest.mark.parametrize("dense", [0, 1, 1000])
+def test_pairs_and_blocks_join_the_same_roots(spark, monkeypatch, tile, dense):
+    """Tiles with few and with many likely pairs, of one block and of two."""
+    monkeypatch.setattr(jaccard, "BLOCK_SETS", 4)
+    monkeypatch.setattr(jaccard, "TILE_SETS", tile)
+    monkeypatch.setattr(jaccard, "TILE_PAIRS", 7)
+    monkeypatch.setattr(jaccard, "DENSE_PAIRS", dense)
+    sets = sorted({text for _, text in near_texts(5) if WORD.search(text or "")})
+    crowd, roots, texts = crowd_of(spark, sets)
+    more = crowd.where("key < 20").withColumn("signature", F.lit(8).cast("long"))
+    links = jaccard._links_between(crowd.unionByName(more), roots, texts, 90, 3)
+    found = {r["node"]: r["root"] for r in components(links, "test").collect()}
+    keys = {text: key for key, text in enumerate(sets)}
+    expected = brute_components([(key, text) for text, key in keys.items()])
+    assert {key: found.get(key, key) for key in keys.values()} == {d: r for d, _, r in expected}
+
+
 def test_band_groups_cover_every_band_once():
     sizes = {3: 10, 4: 500, 5: 20, 9: 7, 20: 3}
     for groups in (1, 2, 4, 50):
