@@ -5,7 +5,10 @@ small; a shorter text is one shingle).  Sets of similar size share a size band;
 pairs differ in at most H shingles.  A hash cuts the universe of shingles into segments.
 Of segments matched exactly and segments matched up to one deletion, e + 2 d > H are
 enough for every linked pair to agree in one of them; `allocation` weighs the rows that
-one-deletion neighbourhoods cost against the crowds that short segments draw.  Each set
+one-deletion neighbourhoods cost against the crowds that short segments draw.  Segments
+that hold nothing in either set agree in all sets and would draw most of a band into one
+crowd.  There are more segments than H asks for, and a set that has fewer empty ones than
+that surplus leaves them out: what it agrees in with others is not only those.  Each set
 indexes its segments under its own band and the one below, so a pair meets under the band
 of its smaller set, and groups of bands are indexed one after another.
 
@@ -13,7 +16,8 @@ Equal sets are one class.  Classes that share a signature are verified on their
 sets: first each class with the smallest of its bucket; then, where a bucket still holds
 classes of different components, those of different components whose counts of shingles by
 cells allow a link, pair by pair where such pairs are few and block by block where they are
-many.  Links within a component change nothing and are not looked for again, so copies never
+many.  Long sets have finer cells besides, as 256 rule out few of their pairs.  Texts travel
+in parts where those that meet take more room than all texts.  Links within a component change nothing and are not looked for again, so copies never
 become all pairs, and no link between different components is lost.
 
 Null or wordless text has an empty set and links with nothing.  Repeated rows are equal
@@ -25,14 +29,15 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator, Mapping
+from functools import reduce
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mailstream.llm.common import components, slices, text_or_empty, written
+from mailstream.llm.common import components, forget, slices, text_or_empty, written
 from mailstream.llm.stretches import (
     OTHER_BASE,
     U64,
@@ -42,8 +47,10 @@ from mailstream.llm.stretches import (
     word_hashes,
 )
 
-#: What a class that meets others by a segment of one or no shingle costs, in index rows.
+#: What a class costs, in index rows, that meets others by a segment that holds nothing, and
+#: one that meets those that have the only shingle of a segment.
 CROWD_ROWS = 200.0
+SINGLE_ROWS = 10.0
 #: Groups of size bands, indexed one after another: each is about that part of the index.
 BAND_GROUPS = 4
 #: Classes of a block, and shingles of a block that are compared at a time.
@@ -52,6 +59,10 @@ BLOCK_TOKENS = 8192
 #: Classes of a bucket whose cells one task compares, and pairs of them at a time.
 TILE_SETS = 2048
 TILE_PAIRS = 1 << 14
+#: Shingles for each of the finer cells of a set with more than 256 times as many, and most
+#: cells of a set.
+FINE_SHINGLES = 8
+MOST_CELLS = 1 << 13
 #: Likely pairs for each class of a tile, beyond which its classes meet in blocks instead.
 DENSE_PAIRS = 8
 
@@ -77,30 +88,65 @@ def band_edges(percent: int, most: int = 1 << 40) -> tuple[int, ...]:
     return tuple(edges)
 
 
+def _differences(percent: int, band: int) -> int:
+    """The most shingles that only one of two linked sets has, the smaller one in the band."""
+    smaller = band_edges(percent)[band + 1] - 1
+    # |x| <= |y| <= |x| / t and |x & y| >= t |x | y| leave at most this many differences.
+    return smaller * (100 - percent) // percent
+
+
+def _empty(exact: float, deletions: float, each: float) -> tuple[float, float]:
+    """Expected numbers of segments that hold nothing, and of one shingle at most."""
+    nothing = math.exp(-each)
+    return exact * nothing, deletions * nothing * (1 + each)
+
+
 @remembered
 def allocation(percent: int, band: int) -> tuple[int, int]:
     """Numbers of exactly matched and of one-deletion segments of a band."""
     edges = band_edges(percent)
-    smaller = edges[band + 1] - 1
-    # |x| <= |y| <= |x| / t and |x & y| >= t |x | y| leave at most this many differences.
-    differences = smaller * (100 - percent) // percent
+    least, smaller = edges[band], edges[band + 1] - 1
+    differences = _differences(percent, band)
+
+    def weight(exact: int, deletions: int) -> tuple[float, float]:
+        """What the empty segments of a small set of the band weigh: mean and deviation."""
+        none, single = _empty(exact, deletions, least / (exact + deletions))
+        return none + 2 * single, math.sqrt(none + 4 * single)
+
     best = (math.inf, differences + 1, 0)
-    for deletions in range((differences + 2) // 2 + 1):
-        exact = max(0, differences + 1 - 2 * deletions)
-        segments = exact + deletions
-        if not segments:
-            continue
-        each = smaller / segments
-        crowded = segments * math.exp(-each) * (1 + each)
-        cost = segments + deletions * each + CROWD_ROWS * crowded
-        best = min(best, (cost, exact, deletions))
-        if deletions > 64:
-            break
+    for deletions in range(min((differences + 2) // 2, 65) + 1):
+        fewest = max(0, differences + 1 - 2 * deletions)
+        # So many that nearly all sets have fewer empty ones than the surplus.
+        many = max(fewest, 1)
+        for _ in range(50):
+            mean, deviation = weight(many, deletions)
+            wanted = differences - 2 * deletions + math.ceil(mean + 4 * deviation) + 1
+            if wanted <= many or wanted > 2 * smaller:
+                break
+            many = wanted
+        for exact in {fewest, many}:
+            segments = exact + deletions
+            if not segments:
+                continue
+            each = smaller / segments
+            mean, deviation = weight(exact, deletions)
+            surplus = exact + 2 * deletions - differences
+            indexed = 0.5 * math.erfc((surplus - 0.5 - mean) / (deviation * math.sqrt(2) + 1e-9))
+            crowded = indexed * sum(_empty(exact, deletions, each))
+            single = exact * each * math.exp(-each)
+            cost = segments + deletions * each + CROWD_ROWS * crowded + SINGLE_ROWS * single
+            best = min(best, (cost, exact, deletions))
     return best[1], best[2]
 
 
 def signatures(hashes: np.ndarray, percent: int, bands: range | None = None) -> np.ndarray:
-    """Segment signatures of one set under its band and the band below, if among `bands`."""
+    """Segment signatures of one set under its band and the band below, if among `bands`.
+
+    Linked sets agree in segments that weigh `surplus` or more (one-deletion segments two).
+    Those that agree as empty, with at most the one shingle deleted, weigh no more than all
+    such segments of either set.  So where one of two has less of them than the surplus, they
+    agree in another segment too, and else both have indexed them.
+    """
     edges = band_edges(percent)
     own = int(np.searchsorted(edges, len(hashes), side="right")) - 1
     out = []
@@ -109,15 +155,20 @@ def signatures(hashes: np.ndarray, percent: int, bands: range | None = None) ->
             continue
         exact, deletions = allocation(percent, band)
         segments = exact + deletions
-        segment = (hashes >> U64(33)) % U64(segments)
+        segment = ((hashes >> U64(33)) % U64(segments)).astype(np.int64)
         mixed = mix(hashes + U64(band + 1))
         sums = np.zeros(segments, U64)
-        np.add.at(sums, segment.astype(np.int64), mixed)
+        np.add.at(sums, segment, mixed)
         label = mix(np.arange(segments, dtype=U64) + U64((band + 1) << 32))
-        out.append(mix(sums ^ label))
+        held = np.bincount(segment, minlength=segments)
+        surplus = exact + 2 * deletions - _differences(percent, band)
+        empty = 2 * (held[:deletions] <= 1).sum() + (held[deletions:] == 0).sum()
+        # The least shingles of a segment whose signature, or that without one, is indexed.
+        least = int(empty < surplus)
+        out.append(mix((sums ^ label)[held >= least]))
         if deletions:
-            gone = segment < U64(deletions)
-            at = segment[gone].astype(np.int64)
+            gone = (segment < deletions) & (held[segment] > least)
+            at = segment[gone]
             out.append(mix((sums[at] - mixed[gone]) ^ label[at]))
     return np.unique(np.concatenate(out)) if out else np.zeros(0, U64)
 
@@ -191,10 +242,60 @@ def _key(hashes: np.ndarray) -> np.ndarray:
 
 def _cells(hashes: np.ndarray) -> bytes:
     """How many hashes of a set fall into each of 256 cells, 255 standing for that or more."""
-    held = np.bincount((mix(hashes) >> U64(56)).astype(np.int64), minlength=256)
+    return _counts(hashes, 8)
+
+
+def _counts(hashes: np.ndarray, bits: int) -> bytes:
+    held = np.bincount((mix(hashes) >> U64(64 - bits)).astype(np.int64), minlength=1 << bits)
     return np.minimum(held, 255).astype(np.uint8).tobytes()
 
 
+def _fine_cells(hashes: np.ndarray) -> bytes:
+    """The same by finer cells, twice, four times .. as many; nothing for a short set."""
+    cells = min(MOST_CELLS, len(hashes) // FINE_SHINGLES)
+    return _counts(hashes, (cells - 1).bit_length()) if cells > 256 else b""
+
+
+class _Levels:
+    """Cells of some sets by level, 256 << level of them; finer ones are added up for coarser."""
+
+    def __init__(self, cells: list[bytes]):
+        self.level = np.array([(len(x) >> 8).bit_length() - 1 for x in cells], np.int64)
+        self._held: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        rows, finer = np.zeros(0, np.int64), np.zeros((0, 512), np.uint8)
+        for level in range(int(self.level.max(initial=0)), -1, -1):
+            own = np.flatnonzero(self.level == level)
+            data = b"".join([cells[i] for i in own])
+            data = np.frombuffer(data, np.uint8).reshape(-1, 256 << level)
+            if len(rows):
+                # A cell that is full stays full.
+                added = finer.reshape(len(rows), -1, 2).sum(axis=2, dtype=np.uint16)
+                data = np.concatenate([data, np.minimum(added, 255).astype(np.uint8)])
+            rows, finer = np.concatenate([own, rows]), data
+            place = np.zeros(len(cells), np.int64)
+            place[rows] = np.arange(len(rows))
+            self._held[level] = place, data
+
+    def at(self, level: int, rows: np.ndarray) -> np.ndarray:
+        place, data = self._held[level]
+        return data[place[rows]]
+
+
+def _may_link_rows(
+    x: _Levels, i: np.ndarray, y: _Levels, j: np.ndarray, sizes: np.ndarray, percent: int
+) -> np.ndarray:
+    """`_may_link` for rows i of x and j of y, by the cells that both have."""
+    keep = np.zeros(len(i), bool)
+    levels = np.minimum(x.level[i], y.level[j])
+    for level in np.unique(levels).tolist():
+        of_level = np.flatnonzero(levels == level)
+        step = max(1, TILE_PAIRS >> level)
+        for start in range(0, len(of_level), step):
+            at = of_level[start : start + step]
+            keep[at] = _may_link(x.at(level, i[at]), y.at(level, j[at]), sizes[at], percent)
+    return keep
+
+
 def _may_link(x: np.ndarray, y: np.ndarray, sizes: np.ndarray, percent: int) -> np.ndarray:
     """Which pairs of sets their cells do not rule out; `sizes` are those of both together.
 
@@ -202,9 +303,9 @@ def _may_link(x: np.ndarray, y: np.ndarray, sizes: np.ndarray, percent: int) ->
     """
     both = np.minimum(x, y)
     # Bytes are added in lanes of 16 bits, which 64 of them cannot fill.
-    eight, even = both.view(np.uint64), U64(0x00FF00FF00FF00FF)
-    lanes = (eight & even).sum(axis=1) + ((eight >> U64(8)) & even).sum(axis=1)
-    most = lanes.view(np.uint16).reshape(-1, 4).sum(axis=1, dtype=np.int64)
+    eight, even = both.view(np.uint64).reshape(len(both), -1, 32), U64(0x00FF00FF00FF00FF)
+    lanes = (eight & even).sum(axis=2) + ((eight >> U64(8)) & even).sum(axis=2)
+    most = lanes.view(np.uint16).sum(axis=1, dtype=np.int64)
     keep = 100 * most >= percent * (sizes - most)
     # Of a full cell only the least count is known.
     unsure = np.flatnonzero(~keep)
@@ -224,19 +325,44 @@ def _likely(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            x, y = (
-                np.frombuffer(b"".join(batch.column(name).to_pylist()), np.uint8).reshape(-1, 256)
-                for name in "xy"
-            )
-            sizes = batch.column("m").to_numpy() + batch.column("n").to_numpy()
-            keep = _may_link(x, y, sizes, percent)
-            yield batch.filter(pa.array(keep)).select(["a", "b"])
+            for part in slices(batch, 2048):
+                x, y = (_Levels(part.column(name).to_pylist()) for name in "xy")
+                sizes = part.column("m").to_numpy() + part.column("n").to_numpy()
+                row = np.arange(part.num_rows)
+                keep = _may_link_rows(x, row, y, row, sizes, percent)
+                yield part.filter(pa.array(keep)).select(["a", "b"])
 
     return pairs.join(second, "b").join(first, "a").mapInArrow(run, "a long, b long")
 
 
+def _parts(meeting: DataFrame, texts: DataFrame) -> int:
+    """How many times the texts of all sets those of `meeting` (key, ..) weigh, at least 1."""
+    sizes = texts.select("key", "n_shingles")
+    held = meeting.select("key").join(sizes, "key").agg(F.sum("n_shingles")).first()[0]
+    return -(-(held or 0) // max(sizes.agg(F.sum("n_shingles")).first()[0] or 0, 1)) or 1
+
+
+def _in_parts(rows: DataFrame, parts: int, by: list[str], run, purpose: str) -> DataFrame:
+    """`run(part)` of the parts of `rows`, dealt by some columns and written one by one, so
+    that the shuffles of one part lie on disk at a time."""
+    if parts == 1:
+        return run(rows)
+    part = F.pmod(F.xxhash64(*by, F.lit(parts)), F.lit(parts))
+    found = [written(run(rows.where(part == number)), purpose) for number in range(parts)]
+    return reduce(DataFrame.unionByName, found)
+
+
+def _all_verified(
+    pairs: DataFrame, texts: DataFrame, percent: int, shingle: int
+) -> DataFrame:
+    """`_verified` in as many parts as the texts of `pairs` take room."""
+    sets = texts.select("key", "text")
+    parts = _parts(pairs.select(F.col("b").alias("key")), texts)
+    return _in_parts(
+        pairs, parts, ["a"], lambda some: _verified(some, sets, percent, shingle), "jaccard-part"
+    )
+
+
 def _verified(pairs: DataFrame, texts: DataFrame, percent: int, shingle: int) -> DataFrame:
     """The pairs (a, b) of classes whose whole sets are similar enough.
 
@@ -380,8 +506,7 @@ def _near_by_cells(placed: DataFrame, texts: DataFrame, percent: int) -> DataFra
         signature, key, root, size = (
             table.column(x).to_numpy() for x in ("signature", "key", "root", "n_shingles")
         )
-        cells = b"".join(table.column("cells").to_pylist())
-        cells = np.frombuffer(cells, np.uint8).reshape(-1, 256)
+        cells = _Levels(table.column("cells").to_pylist())
         classes = np.diff(np.append(begins, len(key)))
         pairs = np.zeros(len(begins), np.int64)
         near = np.zeros(len(key), bool)
@@ -389,7 +514,7 @@ def _near_by_cells(placed: DataFrame, texts: DataFrame, percent: int) -> DataFra
         for owner, i, j in _tile_pairs(table.column("second").to_numpy(), begins):
             apart = root[i] != root[j]
             owner, i, j = owner[apart], i[apart], j[apart]
-            keep = _may_link(cells[i], cells[j], size[i] + size[j], percent)
+            keep = _may_link_rows(cells, i, cells, j, size[i] + size[j], percent)
             owner, i, j = owner[keep], i[keep], j[keep]
             pairs += np.bincount(owner, minlength=len(begins))
             near[i] = near[j] = True
@@ -416,12 +541,17 @@ def _near_by_cells(placed: DataFrame, texts: DataFrame, percent: int) -> DataFra
 
 
 def _links_between(
-    crowd: DataFrame, roots: DataFrame, texts: DataFrame, percent: int, shingle: int
+    crowd: DataFrame,
+    roots: DataFrame,
+    texts: DataFrame,
+    percent: int,
+    shingle: int,
+    fine: DataFrame | None = None,
 ) -> DataFrame:
     """Links between components that share a bucket.
 
-    Pairs that cells do not rule out are verified; where they are many, their classes meet
-    in blocks.
+    Pairs that cells do not rule out are verified; where they are many, by the finer cells
+    (key, n_shingles, cells) of `fine` too, their classes meet in blocks.
     """
     placed = crowd.select("signature", "key").join(
         roots.withColumnRenamed("node", "key"), "key", "left"
@@ -430,17 +560,28 @@ def _links_between(
     buckets = placed.groupBy("signature").agg(F.min("root").alias("r"), F.max("root").alias("s"))
     buckets = buckets.where("r != s").select("signature")
     placed = written(placed.join(buckets, "signature"), "jaccard-open")
-    near = written(_near_by_cells(placed, texts, percent), "jaccard-near")
-    texts = texts.select("key", "text")
-    pairs = near.where("signature is null").select("a", "b")
-    links = _verified(pairs, texts, percent, shingle)
-    dense = near.where("signature is not null").select("signature", F.col("a").alias("key"))
+    pairs, dense = _sorted_out(placed, texts, percent)
+    if fine is not None:
+        if not dense.isEmpty():
+            more, dense = _sorted_out(dense, fine, percent)
+            pairs = pairs.unionByName(more).distinct()
+        pairs = written(_likely(pairs, fine, percent), "jaccard-near-pairs")
+    links = _all_verified(pairs, texts, percent, shingle)
     if dense.isEmpty():
         return links
-    dense = written(placed.join(dense, ["signature", "key"]), "jaccard-dense")
     return links.unionByName(_links_in_blocks(dense, texts, percent, shingle))
 
 
+def _sorted_out(
+    placed: DataFrame, texts: DataFrame, percent: int
+) -> tuple[DataFrame, DataFrame]:
+    """Likely pairs by the cells of `texts`, and the rows of `placed` that have too many."""
+    near = written(_near_by_cells(placed, texts, percent), "jaccard-near")
+    pairs = near.where("signature is null").select("a", "b")
+    dense = near.where("signature is not null").select("signature", F.col("a").alias("key"))
+    return pairs, written(placed.join(dense, ["signature", "key"]), "jaccard-dense")
+
+
 def _links_in_blocks(
     placed: DataFrame, texts: DataFrame, percent: int, shingle: int
 ) -> DataFrame:
@@ -473,7 +614,8 @@ def _links_in_blocks(
         classes.withColumnRenamed("block", "other"), ["cluster", "other"]
     )
     second_side = second_side.withColumn("second", F.lit(True))
-    rows = first_side.unionByName(second_side).join(texts, "key")
+    rows = written(first_side.unionByName(second_side), "jaccard-meetings")
+    sets = texts.select("key", "text")
 
     def run(group: pd.DataFrame) -> pd.DataFrame:
         hashes = [shingle_set(text, shingle) for text in group["text"]]
@@ -481,12 +623,12 @@ def _links_in_blocks(
         found = _block_links(keys, tops, hashes, group["second"].to_numpy(bool), percent)
         return pd.DataFrame(found, columns=["a", "b"])
 
-    return rows.groupBy("cluster", "block", "other").applyInPandas(run, "a long, b long")
+    meeting = ["cluster", "block", "other"]
 
+    def links(some: DataFrame) -> DataFrame:
+        return some.join(sets, "key").groupBy(*meeting).applyInPandas(run, "a long, b long")
 
-def same_row(a: DataFrame, b: DataFrame) -> Column:
-    """Whether doc_id, which may be null, and text_hash agree."""
-    return a["doc_id"].eqNullSafe(b["doc_id"]) & (a["text_hash"] == b["text_hash"])
+    return _in_parts(rows, _parts(rows, texts), meeting, links, "jaccard-part")
 
 
 def _index(texts: DataFrame, percent: int, shingle: int, bands: range) -> DataFrame:
@@ -547,12 +689,13 @@ def jaccard_rows(docs: DataFrame, percent: int = 90, shingle: int = 3) -> DataFr
 
     def member(doc_id, text_hash, hashes):
         size = np.array([len(hashes)])
-        return [doc_id], [text_hash], size, _key(hashes), [_cells(hashes)]
+        cells = [_cells(hashes)], [_fine_cells(hashes)]
+        return [doc_id], [text_hash], size, _key(hashes), *cells
 
     members = written(
         _map_sets(
             docs,
-            "doc_id long, text_hash long, n_shingles long, key long, cells binary",
+            "doc_id long, text_hash long, n_shingles long, key long, cells binary, fine binary",
             shingle,
             member,
         ),
@@ -560,24 +703,28 @@ def jaccard_rows(docs: DataFrame, percent: int = 90, shingle: int = 3) -> DataFr
     )
     # One text of each class of equal sets, by doc_id and text: a doc_id may be null or repeated.
     chosen = members.where("n_shingles > 0").groupBy("key").agg(
-        F.min(F.struct("doc_id", "text_hash", "n_shingles", "cells")).alias("row")
+        F.min(F.struct("doc_id", "text_hash", "n_shingles", "cells", "fine")).alias("row")
     )
-    chosen = chosen.select("key", "row.*")
-    rows = _rows(docs)
-    texts = rows.join(chosen, same_row(rows, chosen)).select(
-        "key", "n_shingles", "cells", "text"
-    )
-    texts = written(texts.dropDuplicates(["key"]), "jaccard-texts")
+    # Named by plain columns, rows are shuffled once, to find the chosen ones and drop copies.
+    name = {"at": F.coalesce("doc_id", F.lit(0)), "none": F.col("doc_id").isNull()}
+    chosen = chosen.select("key", "row.*").withColumns(name).drop("doc_id")
+    texts = _rows(docs).withColumns(name).drop("doc_id").join(chosen, [*name, "text_hash"])
+    texts = texts.dropDuplicates([*name, "text_hash"])
+    texts = texts.select("key", "n_shingles", "cells", "fine", "text")
+    texts = written(texts, "jaccard-texts")
+    cells = F.when(F.length("fine") > 0, F.col("fine")).otherwise(F.col("cells"))
+    fine = texts.select("key", "n_shingles", cells.alias("cells"))
     buckets, crowd = _met(texts, percent, shingle)
     pairs = buckets.select("a", "b").unionByName(
         crowd.where("key != b").select(F.col("key").alias("a"), "b")
     )
-    pairs = written(_likely(pairs.distinct(), texts, percent), "jaccard-pairs")
-    sets = texts.select("key", "text")
-    links = written(_verified(pairs, sets, percent, shingle), "jaccard-links")
+    pairs = written(_likely(pairs.distinct(), fine, percent), "jaccard-pairs")
+    links = written(_all_verified(pairs, texts, percent, shingle), "jaccard-links")
     roots = written(components(links, "jaccard-stars"), "jaccard-roots")
-    more = _links_between(crowd, roots, texts, percent, shingle)
+    more = _links_between(crowd, roots, texts, percent, shingle, fine)
     more = written(more, "jaccard-more-links")
+    # All links are found; what follows reads no text.
+    forget(texts)
     if not more.isEmpty():
         links = links.unionByName(more)
         roots = written(components(links, "jaccard-stars"), "jaccard-roots")
